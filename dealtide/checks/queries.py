@@ -511,7 +511,7 @@ def stream_available_now(spark, folder):
     table = Table(spark, scratch_path(spark, "user-state"))
     checkpoint = scratch_path(spark, "stream")
     for _ in range(2):
-        stream = file_stream(spark, f"{folder}/events.parquet", schema)
+        stream = file_stream(spark, f"{folder}/events.parquet*", schema)
         merge_stream(stream, table, ["user_id"], ["ts", "event_id"], checkpoint)
     return table.read()
 
