@@ -39,6 +39,7 @@ def main() -> None:
         master=f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus,
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="16g",
         spark__checkpoint__dir=tempfile.mkdtemp(prefix="dealtide-bench-"),
     )

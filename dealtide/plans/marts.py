@@ -147,7 +147,10 @@ def _scoring(any_won: bool = False) -> list[Column]:
         .when(F.count_if(stage == "Prospect") > 0, "Medium")
         .otherwise("Low")
     )
-    won = F.coalesce(F.bool_or(stage == WON), F.lit(False)) if any_won else F.max(stage) == WON
+    won = F.coalesce(F.bool_or(stage == WON), F.lit(False))
+    if not any_won:
+        # the greatest stage is the won one; as flags, since text has no hash aggregation
+        won = won & ~F.coalesce(F.bool_or(stage > WON), F.lit(False))
     outcome = F.when(F.bool_or("closed_opportunity"), F.when(won, "Won").otherwise("Lost")).otherwise("Open")
     return [
         F.max(FORECAST).alias("max_opportunity_value"),

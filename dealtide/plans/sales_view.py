@@ -8,22 +8,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dealtide.functions.columns import MONEY
 
 LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """Scan of a stored table; its footers are read for the schema only the first time."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def sales_from_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Line items joined to their order, customer, region and supplier.
 
     Orders meet the customers before the line items, so the larger table is shuffled
-    for the order key and the supplier key only. Which sides are broadcast is left to
-    Spark, which knows their sizes; skewed keys are left to AQE's skew join.
+    for the order key and the supplier key only. Every other side is a plain scan, whose
+    size Spark knows: it broadcasts the small ones. Between line items and orders, which
+    both grow with the data, a sort-merge join is asked for: it spills, and AQE splits
+    its skewed partitions.
     """
     regions = read_table(spark, folder, "region").select("r_regionkey", F.col("r_name").alias("region"))
     nations = read_table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
@@ -36,12 +46,13 @@ def sales_from_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
     lines = read_table(spark, folder, "lineitem")
 
-    leads = customers.join(
-        nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")),
-        F.col("c_nationkey") == F.col("n_nationkey"),
+    placed = (
+        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+        .select("o_orderkey", "o_orderstatus", "sale_date", "lead_name", "segment", "region")
     )
-    placed = orders.join(leads, F.col("o_custkey") == F.col("c_custkey"))
-    sold = lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    sold = lines.join(placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(
         suppliers, F.col("l_suppkey") == F.col("s_suppkey")
     )
 
