@@ -32,6 +32,14 @@ TYPE_NAMES = {
 _SIZED_DECIMAL = re.compile(r"(?:decimal|numeric)\s*\(\s*(\d+)\s*,\s*(\d+)\s*\)")
 
 
+_PLAIN: dict[str, T.DataType] = {
+    t.simpleString(): t
+    for t in (
+        T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.BooleanType(), T.DateType(), T.TimestampType(),
+    )
+}
+
+
 def ddl_type(name: str) -> str:
     """DDL text for a declared type; names are not case sensitive."""
     wanted = name.strip().lower()
@@ -43,6 +51,12 @@ def ddl_type(name: str) -> str:
     return TYPE_NAMES[wanted]
 
 
+def spark_type(name: str) -> T.DataType:
+    ddl = ddl_type(name)
+    sized = _SIZED_DECIMAL.fullmatch(ddl)
+    return T.DecimalType(int(sized[1]), int(sized[2])) if sized else _PLAIN[ddl]
+
+
 def struct_type(columns: Mapping[str, str]) -> T.StructType:
     """Nullable fields, in the order declared."""
-    return T.StructType([T.StructField(c, T.DataType.fromDDL(ddl_type(t)), True) for c, t in columns.items()])
+    return T.StructType([T.StructField(c, spark_type(t), True) for c, t in columns.items()])

@@ -15,7 +15,7 @@ def file_stream(
     folder: str,
     schema: T.StructType,
     file_format: str = "parquet",
-    max_bytes_per_batch: str | None = None,
+    max_bytes_per_batch: int | None = None,
     **options: object,
 ) -> DataFrame:
     """Stream over the files of a folder. A byte limit splits a backlog into batches."""
