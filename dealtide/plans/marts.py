@@ -36,7 +36,7 @@ class Mart:
     groups: Mapping[str, str]  # output column -> SQL expression over the sales
     required: Sequence[str]  # rows with a null in one of these are left out
     measures: Callable[[], list[Column]]
-    id_order: Sequence[str] = ()  # defaults to the group columns
+    monthly: bool = False  # grouped by year and month of the sale
 
     def _guarded(self, sales: DataFrame) -> DataFrame:
         return sales.where(all_present(self.required))
@@ -50,13 +50,23 @@ class Mart:
 
     def with_ids(self, built: DataFrame) -> DataFrame:
         """The built table with its row number in group order as first column."""
-        order = [*self.id_order, *[g for g in self.groups if g not in self.id_order]]
-        return number_rows(built, self.id_name, order, rows_unique=True)
+        return number_rows(built, self.id_name, list(self.groups), rows_unique=True)
 
     def touched(self, changed: DataFrame) -> DataFrame:
         """Groups that the changed rows belong to."""
         return self._guarded(changed).select(*self._group_columns()).distinct()
 
+    @staticmethod
+    def _of_months(sales: DataFrame, touched: DataFrame) -> DataFrame:
+        """Sales between the first and the last touched month.
+
+        The bounds are literals on a plain column, so the scan skips the files and row
+        groups of all other months; sales loaded day by day lie clustered that way.
+        """
+        first_day = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.lit(1))
+        first, last = touched.agg(F.min(first_day), F.last_day(F.max(first_day))).first()
+        return sales if first is None else sales.where(F.col("sale_date").between(F.lit(first), F.lit(last)))
+
     def refresh(self, current: DataFrame, sales: DataFrame, changed: DataFrame) -> DataFrame:
         """``current`` brought up to date by recomputing the touched groups only.
 
@@ -66,6 +76,8 @@ class Mart:
         """
         keys = list(self.groups)
         touched = materialize(self.touched(changed), "touched")
+        if self.monthly:
+            sales = self._of_months(sales, touched)
         keyed = self._guarded(sales).select("*", *[F.expr(e).alias(f"_k_{n}") for n, e in self.groups.items()])
         wanted = touched.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
         affected = rows_of_groups(keyed, wanted, [f"_k_{k}" for k in keys]).drop(*[f"_k_{k}" for k in keys])
@@ -179,6 +191,7 @@ REGION_SUMMARY = Mart(
     {**_PLACE, **_MONTH},
     ("region", "segment", "sale_date"),
     _totals,
+    monthly=True,
 )
 PERFORMANCE = Mart(
     "gold_sales_performance_metrics",
@@ -200,6 +213,7 @@ TRENDS = Mart(
     {**_MONTH, "region": "region"},
     ("sale_date", "region"),
     _trends,
+    monthly=True,
 )
 # The same with sketches instead of exact distinct counts, for tables where the
 # exact ones cost too much.
@@ -209,6 +223,7 @@ APPROXIMATE_TRENDS = Mart(
     TRENDS.groups,
     TRENDS.required,
     _approximate_trends,
+    monthly=True,
 )
 LEAD_SCORING = Mart(
     "gold_lead_scoring",

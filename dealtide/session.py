@@ -16,11 +16,28 @@ DEFAULTS = {
 }
 
 
-def build_session(app_name: str = "dealtide", master: str | None = None, **conf: str) -> SparkSession:
+# Size to aim for in one shuffle partition, so that a sort or a hash table fits in memory.
+_SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(shuffled_bytes: int) -> int:
+    """Partitions for the largest shuffle; AQE merges those that turn out small."""
+    return min(max(200, -(-shuffled_bytes // _SHUFFLE_PARTITION_BYTES)), 100_000)
+
+
+def build_session(
+    app_name: str = "dealtide",
+    master: str | None = None,
+    shuffled_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
     """A session with the defaults above; ``conf`` keys use ``__`` for dots.
 
-    On a cluster leave ``master`` unset so that spark-submit decides.
+    On a cluster leave ``master`` unset so that spark-submit decides, and give the
+    expected bytes of the largest shuffle.
     """
+    if shuffled_bytes is not None:
+        conf.setdefault("spark__sql__shuffle__partitions", str(shuffle_partitions(shuffled_bytes)))
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from dealtide.operators import explore, runlog
 from dealtide.plans import dashboard, marts, star
 from dealtide.plans.loads import Lake
+from dealtide.session import shuffle_partitions
 from dealtide.sinks import jdbc
 from dealtide.sinks.files import export_reports
 from dealtide.sources import catalog
@@ -103,6 +104,19 @@ def test_refresh_equals_full_build(spark, sales, mart):
     assert bag(mart.refresh(current, sales.where(~late), sales.limit(0))) == bag(current)
 
 
+def test_monthly_refresh_skips_other_months(spark, sales, tmp_path):
+    path = str(tmp_path / "sales")
+    sales.write.parquet(path)
+    stored, mart = spark.read.parquet(path), marts.TRENDS
+    changed = stored.where("sale_date >= date '2017-02-01'")
+    plan = mart.refresh(mart.build(stored), stored, changed)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(sale_date,2017-02-01), LessThanOrEqual(sale_date,2017-02-28)" in plan
+
+
+def test_partitions_follow_the_bytes():
+    assert shuffle_partitions(1) == 200 and shuffle_partitions(1 << 40) == 8192 and shuffle_partitions(1 << 50) == 100_000
+
+
 def test_fact_ids_and_copies(sales):
     fact = star.fact_sales(sales)
     assert sorted(r.sales_id for r in fact.collect()) == list(range(1, 8))
