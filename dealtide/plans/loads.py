@@ -19,7 +19,7 @@ from dealtide.operators.quality import kept, report
 from dealtide.operators.runlog import RunLog, increment_note
 from dealtide.operators.transforms import apply_transforms
 from dealtide.plans import dashboard, marts, star
-from dealtide.sources.catalog import SALES, Source
+from dealtide.sources.catalog import SALES, SOURCES, Source
 from dealtide.sources.files import read_source, register_views
 from dealtide.sources.tables import Load, Mark, Table, greatest
 
@@ -37,6 +37,7 @@ DIMENSIONS: Mapping[str, Callable[[DataFrame], DataFrame]] = {
 }
 FACT = "gold_fact_sales"
 NORMALIZED_SUMMARY = "gold_sales_summary"
+NORMALIZED_SILVER = ("silver_sales_opportunities", "silver_salespeople", "silver_leads", "silver_dates")
 
 
 def ordering_value(source: Source) -> Column:
@@ -173,13 +174,25 @@ class Lake:
 
     def build_normalized_summary(self) -> Load:
         """The summary over the four related silver tables."""
-        parts = ("silver_sales_opportunities", "silver_salespeople", "silver_leads", "silver_dates")
+        parts = NORMALIZED_SILVER
 
         def work() -> Load:
             return self.table(NORMALIZED_SUMMARY).replace(marts.summary_of_normalized(*self.read(*parts)))
 
         return self._logged(NORMALIZED_SUMMARY, ", ".join(parts), NORMALIZED_SUMMARY, False, work)
 
+    def load(self, paths: Mapping[str, str], incremental: bool = True) -> dict[str, Load]:
+        """Sources by name through bronze and silver, then the gold tables they feed."""
+        done: dict[str, Load] = {}
+        for name, path in paths.items():
+            done[SOURCES[name].bronze_table] = self.ingest(SOURCES[name], path, incremental)
+            done[SOURCES[name].silver_table] = self.refine(SOURCES[name], incremental)[0]
+        if SALES.name in paths:
+            done |= self.build_star() | self.build_marts(incremental)
+        if all(self.table(t).exists() for t in NORMALIZED_SILVER):
+            done[NORMALIZED_SUMMARY] = self.build_normalized_summary()
+        return done
+
     def reports(self, as_of: str | None = None) -> dict[str, DataFrame]:
         """All report tables by name, ready for a CSV export."""
         fact, dates = self.read(FACT, "gold_dim_date")

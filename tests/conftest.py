@@ -19,7 +19,9 @@ def spark(tmp_path_factory):
         master="local[8]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
+        spark__sql__maxMetadataStringLength="2000",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )

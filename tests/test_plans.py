@@ -257,12 +257,11 @@ def test_lake_of_related_files(spark, tmp_path):
     }
     for name, text in files.items():
         (tmp_path / f"{name}.csv").write_text(text)
-        lake.ingest(catalog.SOURCES[name], str(tmp_path / f"{name}.csv"))
-        lake.refine(catalog.SOURCES[name])
+    done = lake.load({name: str(tmp_path / f"{name}.csv") for name in files})
+    assert done["silver_sales_opportunities"].rows == 2 and done["gold_sales_summary"].committed
     assert bag(lake.table("silver_dates").read().select("date_id", "full_date")) == [
         ("d1", date(2017, 1, 5)), ("d2", date(2017, 1, 6)),
     ]
-    lake.build_normalized_summary()
     row = lake.table("gold_sales_summary").read().first()
     assert (row.salesperson, row.total_opportunities, row.total_forecasted_revenue) == ("Ann", 2, Decimal("17.50"))
     assert (row.closed_opportunities, row.active_opportunities) == (1, 1)
