@@ -10,6 +10,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealtide.scratch import append_row
+
 RUNNING, COMPLETED, FAILED = "RUNNING", "COMPLETED", "FAILED"
 
 LOG_SCHEMA = (
@@ -37,10 +39,7 @@ class RunLog:
         self.path = path
 
     def _append(self, row: Mapping[str, object]) -> None:
-        now = datetime.now(timezone.utc)
-        fields = [f.strip().split(" ")[0] for f in LOG_SCHEMA.split(",")]
-        values = tuple(now if f == "event_time" else row.get(f) for f in fields)
-        self.spark.createDataFrame([values], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        append_row(self.spark, self.path, {**row, "event_time": datetime.now(timezone.utc)}, LOG_SCHEMA)
 
     def start(self, pipeline_id: str, source: str, destination: str, load_type: str = "full") -> dict[str, object]:
         run = {

@@ -1,4 +1,4 @@
-"""Intermediate tables in the shared folder that the cluster names.
+"""Intermediate tables in the shared folder that the cluster names, and log rows.
 
 A written table cuts the lineage and, unlike a local checkpoint, outlives the
 loss of any executor. Folders are unique per call and follow the lifetime of the
@@ -8,9 +8,11 @@ checkpoint folder, as Spark's own checkpoints do.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Mapping
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
 
@@ -31,6 +33,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid4().hex}"
 
 
+def append_row(spark: SparkSession, path: str, row: Mapping[str, object], shape: str) -> None:
+    """Add one row to a log. It is built from literals, without a Python worker."""
+    columns = [c.strip().split(" ") for c in shape.split(",")]
+    literals = [F.lit(row.get(name)).cast(kind).alias(name) for name, kind in columns]
+    spark.range(1, numPartitions=1).select(*literals).write.mode("append").parquet(path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return the scan of what was written.
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from dealtide.functions.columns import named, row_count
 from dealtide.operators.merge import apply_increment, reduce_increment
+from dealtide.scratch import append_row
 from dealtide.sinks.files import write_parquet
 
 _COMMIT = (
@@ -118,8 +119,17 @@ class Table:
         if rows == 0:
             return Load(0, False, measured)
         column, value = (mark.column, measured.get("mark", mark.value)) if mark else (None, None)
-        row = (version, mode, folder, load_id, rows, column, value, datetime.now(timezone.utc))
-        self.spark.createDataFrame([row], _COMMIT).coalesce(1).write.mode("append").parquet(f"{self.path}/_log")
+        row = {
+            "version": version,
+            "mode": mode,
+            "folder": folder,
+            "load_id": load_id,
+            "written": rows,
+            "column_name": column,
+            "max_value": value,
+            "committed_at": datetime.now(timezone.utc),
+        }
+        append_row(self.spark, f"{self.path}/_log", row, _COMMIT)
         return Load(rows, True, measured)
 
     def append(
