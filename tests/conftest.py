@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         "dealtide-tests",
         master="local[8]",
         spark__sql__shuffle__partitions="8",
+        spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",

@@ -202,8 +202,8 @@ def test_lake_of_the_flat_file(spark, tmp_path):
 
     bronze, silver, report = run(first)
     assert (bronze.rows, silver.rows, [r.failed_count for r in report]) == (2, 1, [1])
-    lake.build_star()
-    assert all(load.committed for load in lake.build_marts().values())
+    refreshed = (marts.TRENDS, marts.LEAD_SCORING)
+    assert all(lake.build_mart(m).committed for m in refreshed)
     bronze, silver, report = run([*first, *later])
     assert (bronze.rows, silver.rows, report) == (2, 2, [])  # October comes after September
     bronze, silver, _ = run([*first, *later])
@@ -220,7 +220,7 @@ def test_lake_of_the_flat_file(spark, tmp_path):
     lake.build_marts()
     again = lake.build_marts()
     assert not any(load.committed for load in again.values())
-    for mart in marts.SALES_MARTS:
+    for mart in refreshed:
         assert bag(lake.table(mart.name).read()) == bag(mart.with_ids(mart.build(table.read())))
     assert lake.table("gold_fact_sales").read().count() == 3
 
