@@ -250,7 +250,7 @@ FROM parted p WHERE later AND {condition} (
 
 
 RUNS = """log AS (
-  SELECT user_id || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id, 'user-' || user_id AS pipeline_id,
+  SELECT user_id || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id, 'weekday-' || (dayofweek(ts) + 1) AS pipeline_id,
     'events' AS source_name, 'runs' AS destination_name, ts,
     CASE event_type WHEN 'purchase' THEN 'COMPLETED' WHEN 'error' THEN 'FAILED' ELSE 'RUNNING' END AS status,
     CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS records_processed,
@@ -523,7 +523,7 @@ FROM (VALUES (1, 'c_custkey', 'int'), (2, 'c_name', 'string'), (3, 'c_nationkey'
     "run_state": f"WITH {RUNS} SELECT * EXCLUDE (last_timestamp) FROM state",
     "run_history": f"WITH {RUNS} SELECT * FROM history ORDER BY start_time DESC, run_id LIMIT 20",
     "run_history_of_one": f"""WITH {RUNS}
-SELECT * FROM history WHERE pipeline_id = 'user-7' ORDER BY start_time DESC, run_id LIMIT 10""",
+SELECT * FROM history WHERE pipeline_id = 'weekday-2' ORDER BY start_time DESC, run_id LIMIT 10""",
     "numbered_copies": """WITH numbered AS (
   SELECT row_number() OVER (ORDER BY o_orderstatus, o_orderpriority) AS row_no, o_orderstatus, o_orderpriority
   FROM orders
@@ -531,3 +531,4 @@ SELECT * FROM history WHERE pipeline_id = 'user-7' ORDER BY start_time DESC, run
 SELECT o_orderstatus, o_orderpriority, MIN(row_no) AS first_no, MAX(row_no) AS last_no, COUNT(*) AS copies
 FROM numbered GROUP BY o_orderstatus, o_orderpriority""",
 }
+ORACLES["fact_sales_stored"] = ORACLES["fact_sales"]

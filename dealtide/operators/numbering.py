@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +15,21 @@ from dealtide.scratch import materialize
 _PLACE_BITS = 33
 
 
+ADDRESS = ("_file", "_row")
+
+
+def with_address(df: DataFrame) -> DataFrame | None:
+    """Rows with their place in the files they are read from; none if ``df`` is no plain scan."""
+    try:
+        return df.select(
+            "*",
+            F.xxhash64("_metadata.file_path").alias(ADDRESS[0]),
+            F.col("_metadata.row_index").alias(ADDRESS[1]),
+        )
+    except AnalysisException:
+        return None
+
+
 def number_rows(
     df: DataFrame,
     id_name: str,
@@ -29,18 +45,15 @@ def number_rows(
     broadcast.
 
     Where ``order_by`` does not identify a row, equal rows would all fall in one range.
-    The input is then written first, so that the address of a row in the written files
-    can break ties; a large group of copies spreads over many ranges.
+    The address of a row in its files then breaks ties, so that a large group of copies
+    spreads over many ranges; an input that is not a plain scan is written first.
     """
     names = df.columns
     keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
     if not rows_unique:
-        df = materialize(df, "unordered").select(
-            "*",
-            F.xxhash64("_metadata.file_name").alias("_file"),
-            F.col("_metadata.row_index").alias("_row"),
-        )
-        keys = [*keys, F.col("_file"), F.col("_row")]
+        addressed = with_address(df)
+        df = addressed if addressed is not None else with_address(materialize(df, "unordered"))
+        keys = [*keys, *[F.col(c) for c in ADDRESS]]
     slot = F.monotonically_increasing_id()
     ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*names, slot.alias("_slot"))
     placed = materialize(

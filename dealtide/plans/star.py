@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealtide.functions.columns import all_present, cycle_days, named, surrogate_key
-from dealtide.operators.numbering import number_rows
+from dealtide.operators.numbering import ADDRESS, number_rows, with_address
 
 
 def dim_salesperson(sales: DataFrame, key_kind: str = "md5") -> DataFrame:
@@ -99,14 +99,21 @@ def fact_sales(
 
     Rows equal in these are ordered by ``tie_break`` and then by all other columns, so
     the ids depend on the content alone. The long keys are computed after the rows
-    have been placed and never take part in the shuffle.
+    have been placed and never take part in the shuffle. From a stored table the rows are
+    read directly; any other input is written first (see ``number_rows``).
     """
     place = [] if key_by == "name" else ["segment", "region"]
     order = dict.fromkeys(
         ["sale_date", "lead_name", "salesperson", *tie_break, "opportunity_stage", "target_close", *FACT_VALUES, *place]
     )
-    slim = sales.where(all_present(FACT_REQUIRED)).select(*order)
-    return number_rows(slim, "sales_id", list(order)).select("sales_id", *_fact_columns(key_by, key_kind))
+    guarded = sales.where(all_present(FACT_REQUIRED))
+    addressed = with_address(guarded)
+    if addressed is None:
+        numbered = number_rows(guarded.select(*order), "sales_id", list(order))
+    else:
+        placed = [*order, *ADDRESS]
+        numbered = number_rows(addressed.select(*placed), "sales_id", placed, rows_unique=True)
+    return numbered.select("sales_id", *_fact_columns(key_by, key_kind))
 
 
 def star_join(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealtide.operators import explore, runlog
+from dealtide.operators.numbering import with_address
 from dealtide.plans import dashboard, marts, star
 from dealtide.plans.loads import Lake
 from dealtide.session import shuffle_partitions
@@ -129,6 +130,15 @@ def test_fact_ids_and_copies(sales):
     assert {r.sales_cycle_days for r in fact.collect()} == {59, 55, 28, 27, 26, 25}
 
 
+def test_fact_of_a_stored_table(spark, sales, tmp_path):
+    path = str(tmp_path / "sales")
+    sales.repartition(3).write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert with_address(stored.where("salesperson IS NOT NULL")) is not None
+    assert with_address(stored.groupBy("region").count()) is None
+    assert bag(star.fact_sales(stored)) == bag(star.fact_sales(sales))
+
+
 def test_lead_keys(spark):
     moved = [sale(date(2017, 1, 1), "p", "Acme", "Lead", "1"), sale(date(2017, 1, 2), "p", "Acme", "Lead", "1", "S2")]
     df = spark.createDataFrame(moved, SALES_SCHEMA)
