@@ -26,16 +26,14 @@ SALES = """sales AS (
   JOIN supplier ON l_suppkey = s_suppkey
 )"""
 
-MART_MEASURES = {
-    "totals": """COUNT(*) AS total_opportunities,
+TOTALS = """COUNT(*) AS total_opportunities,
     CAST(SUM(forecast) AS DECIMAL(28,2)) AS total_forecasted_revenue,
     CAST(SUM(weighted) AS DECIMAL(28,2)) AS total_weighted_revenue,
-    COUNT(*) FILTER (closed) AS closed_opportunities""",
-}
+    COUNT(*) FILTER (closed) AS closed_opportunities"""
 
 REGION_MART = f"""region_mart AS (
   SELECT region, segment, CAST(year(sale_date) AS BIGINT) AS year, CAST(month(sale_date) AS BIGINT) AS month,
-    {MART_MEASURES["totals"]}
+    {TOTALS}
   FROM sales GROUP BY ALL
 )"""
 
@@ -321,7 +319,7 @@ SELECT sale_date AS date_value, CAST(year(sale_date) AS BIGINT) AS year, CAST(mo
 FROM sales""",
     "sales_summary": _numbered(
         f"""mart AS (
-  SELECT salesperson AS salesperson_name, region, segment, {MART_MEASURES["totals"]},
+  SELECT salesperson AS salesperson_name, region, segment, {TOTALS},
     COUNT(*) FILTER (active) AS active_opportunities, AVG(days) AS avg_sales_cycle_days
   FROM sales GROUP BY ALL
 )""",

@@ -54,4 +54,4 @@ def test_same_rows(spark, duck, name):
     found = as_bag(df.select(*[f"`{c}`" for c in columns]).collect())
     missing, extra = expected - found, found - expected
     assert not missing and not extra, (columns, list(missing)[:3], list(extra)[:3], len(missing), len(extra))
-    assert sum(found.values()) > 0 or name in ()
+    assert found
