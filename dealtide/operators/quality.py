@@ -56,6 +56,7 @@ class Rule:
 
     def wording(self) -> tuple[str, str]:
         """Text of the alert before and after the number of failed rows."""
+        # The wording of the alerts.
         ending = {
             "not_null": "NULL values",
             "greater_than": f"values not greater than {self.value}",

@@ -195,6 +195,7 @@ class Lake:
 
     def reports(self, as_of: str | None = None) -> dict[str, DataFrame]:
         """All report tables by name, ready for a CSV export."""
+        # Names and row limits of the exported reports.
         fact, dates = self.read(FACT, "gold_dim_date")
         performance, regions, funnel, trends, scoring = self.read(
             marts.PERFORMANCE.name,

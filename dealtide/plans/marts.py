@@ -178,6 +178,7 @@ def _scoring(any_won: bool = False) -> list[Column]:
 _PLACE = {"region": "region", "segment": "segment"}
 _MONTH = {"year": "CAST(year(sale_date) AS BIGINT)", "month": "CAST(month(sale_date) AS BIGINT)"}
 
+# Names, ids, group columns and guards of the aggregate tables.
 SALES_SUMMARY = Mart(
     "gold_sales_overview",
     "summary_id",

@@ -40,6 +40,7 @@ def _not_null(*columns: str) -> list[Mapping[str, object]]:
     return [{"column": c, "rule_type": "not_null"} for c in columns]
 
 
+# The declared sources with their columns, keys, transforms and rules.
 SALESPEOPLE = Source(
     name="salespeople",
     columns={"salesperson": "string", "salesperson_id": "string"},
