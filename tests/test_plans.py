@@ -15,6 +15,7 @@ from dealtide.operators import explore, runlog
 from dealtide.operators.numbering import with_address
 from dealtide.plans import dashboard, marts, star
 from dealtide.plans.loads import Lake
+from dealtide.scratch import materialize
 from dealtide.session import shuffle_partitions
 from dealtide.sinks import jdbc
 from dealtide.sinks.files import export_reports
@@ -154,6 +155,47 @@ def test_lead_keys(spark):
         star.lead_key("colour")
 
 
+def test_hot_lead_is_split_in_the_star_join(spark, tmp_path):
+    lead = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("lead "), F.col("id").cast("string")))
+    wide = spark.range(60000).select(
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias("sale_date"),
+        F.lit("Ann").alias("salesperson"),
+        lead.alias("lead_name"),
+        F.lit("S1").alias("segment"),
+        F.lit("EU").alias("region"),
+        F.lit("2020-03-01").cast("date").alias("target_close"),
+        (F.abs(F.xxhash64("id")) % 10**9).cast("decimal(18,2)").alias("forecasted_monthly_revenue"),
+        F.lit("Lead").alias("opportunity_stage"),
+        (F.abs(F.xxhash64("id", F.lit(1))) % 10**9).cast("decimal(18,2)").alias("weighted_revenue"),
+        F.lit(False).alias("closed_opportunity"),
+        F.lit(True).alias("active_opportunity"),
+        F.lit(True).alias("latest_status_entry"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "100k",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        sales = materialize(wide, "sales")
+        dims = [
+            materialize(build(sales), "dim")
+            for build in (star.dim_salesperson, star.dim_lead, star.dim_date, star.dim_stage)
+        ]
+        joined = star.star_join(star.fact_rows(sales), *dims)
+        assert len(joined.collect()) == 60000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan.split("Initial Plan")[0] and plan.count("BroadcastHashJoin") >= 3
+
+
 def test_calendar(spark):
     df = spark.createDataFrame([sale(date(2024, 1, 7), "p", "l", "Lead", "1")], SALES_SCHEMA)
     day = star.dim_date(df).first()
