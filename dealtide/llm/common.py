@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,6 +91,58 @@ def add_columns(
     return df.mapInArrow(run, out)
 
 
+class WordTable:
+    """Words of a task numbered as they come, each with a short array of ids; at most ``bound`` words.
+
+    ``encode`` gives the ids of new words. Memory is bounded: a full table starts anew.
+    """
+
+    def __init__(self, encode: Callable[[list[bytes]], list[Sequence[int]]], bound: int) -> None:
+        self.encode, self.bound = encode, bound
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[bytes, int] = {}
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.start = np.zeros(1 << 14, np.int64)
+        self.used = 0
+
+    def add(self, words: list[bytes]) -> None:
+        if len(self.place) + len(words) > self.bound:
+            self.clear()
+        first = len(self.place)
+        self.place.update(zip(words, range(first, first + len(words)), strict=True))
+        found = self.encode(words)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ends = self.used + np.cumsum(sizes)
+        while first + len(words) + 1 > len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+        total = int(sizes.sum())
+        while self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        self.start[first + 1 : first + 1 + len(words)] = ends
+        self.used += total
+
+    def ids(self, words: list[bytes]) -> np.ndarray:
+        """The ids of all words in a row."""
+        fresh = [w for w in set(words) if w not in self.place]
+        if fresh:
+            if len(self.place) + len(fresh) > self.bound:
+                fresh = list(set(words))
+                self.clear()
+            self.add(fresh)
+        at = np.array([self.place[w] for w in words], np.int64)
+        return gather(self.flat, self.start[at], self.start[at + 1] - self.start[at])
+
+
+def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The pieces ``flat[start : start + size]`` in a row."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.arange(total) + np.repeat(start - (ends - size), size)]
+
+
 def fold(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder, which cuts the lineage."""
     return materialize(df, label)
