@@ -126,6 +126,10 @@ class WordTable:
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         """The ids of all words in a row."""
+        return self.ids_by_word(words)[0]
+
+    def ids_by_word(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and how many each word has."""
         fresh = [w for w in set(words) if w not in self.place]
         if fresh:
             if len(self.place) + len(fresh) > self.bound:
@@ -133,7 +137,8 @@ class WordTable:
                 self.clear()
             self.add(fresh)
         at = np.array([self.place[w] for w in words], np.int64)
-        return gather(self.flat, self.start[at], self.start[at + 1] - self.start[at])
+        size = self.start[at + 1] - self.start[at]
+        return gather(self.flat, self.start[at], size), size
 
 
 def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
