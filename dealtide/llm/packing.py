@@ -16,6 +16,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -34,6 +35,7 @@ GRAIN = 8
 GAP = 1e-3
 # Distinct words whose ids a worker remembers at most.
 _CACHE = 1_000_000
+_TOGETHER = 2 << 20
 _CLOSED = re.compile(rb"([a-z]+)([,.;:!?]+)")
 # Sub-ranges into which a length is split for ranking, so that a hot length meets in no single task.
 _SPLITS = 64
@@ -65,22 +67,31 @@ class Encoder:
             ids.update((p, found[a:b]) for p, a, b in zip(parts[at : at + 1000], bounds, bounds[1:], strict=False))
         return [ids[a] + ids[b] if b else ids[a] for a, b in split]
 
-    def learn(self, texts: list[bytes | None]) -> None:
-        """Encode the new words of a batch together; one at a time costs several times as much."""
-        fresh: set[bytes] = set()
+    def ids(self, texts: list[bytes | None]) -> Iterator[np.ndarray]:
+        """The ids of each text and the end id. Texts of moderate size are looked up together."""
+        run: list[list[bytes]] = []
+        size = 0
         for text in texts:
-            for part in segments(cased(text)):
-                fresh.update(w for w in part.split() if w not in self.words.place)
-            if len(fresh) > 20_000:
-                self.words.add(list(fresh))
-                fresh = set()
-        if fresh:
-            self.words.add(list(fresh))
-
-    def ids(self, text: bytes | None) -> np.ndarray:
-        text = cased(text)
-        parts = [self.words.ids(part.split()) for part in segments(text)]
-        return np.concatenate([*parts, np.array([END], "<u4")]).astype("<u4")
+            text = cased(text)
+            if len(text) > _TOGETHER:
+                yield from self._together(run)
+                run, size = [], 0
+                parts = [self.words.ids(part.split()) for part in segments(text)]
+                yield np.concatenate([*parts, [END]]).astype("<u4")
+                continue
+            run.append(text.split())
+            size += len(text)
+            if size > _TOGETHER:
+                yield from self._together(run)
+                run, size = [], 0
+        yield from self._together(run)
+
+    def _together(self, run: list[list[bytes]]) -> Iterator[np.ndarray]:
+        flat, sizes = self.words.ids_by_word(list(chain.from_iterable(run)))
+        words = np.cumsum([0, *map(len, run)])
+        edges = np.concatenate([[0], np.cumsum(sizes)])[words]
+        for a, b in zip(edges, edges[1:], strict=False):
+            yield np.concatenate([flat[a:b], [END]]).astype("<u4")
 
 
 def cased(text: bytes | None) -> bytes:
@@ -107,9 +118,7 @@ def pieces(documents: DataFrame, keep: list[str], tokenizer: str, capacity: int
         for batch in batches:
             owner, columns = [], [[], [], [], [], []]
             texts = texts_of(batch, "_text")
-            encoder.learn(texts)
-            for i, text in enumerate(texts):
-                ids = encoder.ids(text)
+            for i, ids in enumerate(encoder.ids(texts)):
                 for start in range(0, len(ids), capacity):
                     part = ids[start : start + capacity]
                     owner.append(i)
