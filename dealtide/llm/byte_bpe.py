@@ -75,7 +75,7 @@ def chunks(text: str) -> Iterator[list[str]]:
         if _BEFORE_SPACE.search(part) or part[:1] == " " and at == 0:
             joined = [found[0]]
             for x in found[1:]:
-                if joined[-1] == "" and len(joined) > 1 or joined[-1][-1:].isspace() or joined == [""]:
+                if joined[-1] == "" and len(joined) > 1 or joined[-1][-1:].isspace() or joined == [""] and at == 0:
                     joined[-1] += " " + x
                 else:
                     joined.append(x)

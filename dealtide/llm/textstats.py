@@ -19,7 +19,7 @@ def n_of(data: bytes, characters: bytes) -> int:
 
 
 def code_points(data: bytes) -> int:
-    return len(data) - len(data.translate(None, bytes(range(0x80, 0xC0))))
+    return len(data.translate(None, bytes(range(0x80, 0xC0))))
 
 
 def repeated_words(words: list[bytes], width: int = 8) -> int:
