@@ -74,16 +74,21 @@ class Languages:
         return names, scores
 
 
-def fit_languages(x: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: float = 1e-3) -> Languages:
+def fit_languages(bits: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: float = 1e-3) -> Languages:
+    """``bits``: a row of packed presence bits for each text. Texts are unpacked some at a time."""
     names = sorted(set(langs))
     if not names:
         return Languages([], np.zeros((BUCKETS, 0), np.float32))
-    x = x.astype(np.float32)
-    unit = x / np.sqrt(np.maximum(1, x.sum(1, keepdims=True)))
-    marks = unit[:: max(1, -(-len(unit) // landmarks))]
+
+    def units(rows: np.ndarray) -> np.ndarray:
+        x = np.unpackbits(rows, axis=1).astype(np.float32)
+        return x / np.sqrt(np.maximum(1, x.sum(1, keepdims=True)))
+
+    marks = units(bits[:: max(1, -(-len(bits) // landmarks))])
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(float))
     half = vectors / np.sqrt(np.maximum(values, 1e-4)) @ vectors.T
-    phi = (unit @ marks.T) @ half
+    near = np.concatenate([units(bits[at : at + 128]) @ marks.T for at in range(0, len(bits), 128)])
+    phi = near @ half
     y = np.where(np.array(langs)[:, None] == np.array(names)[None, :], 1.0, -1.0)
     weights = np.linalg.solve(phi.T @ phi + ridge * len(phi) * np.eye(len(marks)), phi.T @ y)
     return Languages(names, (marks.T @ (half @ weights)).astype(np.float32))
@@ -111,8 +116,8 @@ def train(documents: DataFrame, sample: int = SAMPLE) -> Languages:
 
     read = add_columns(chosen, "bits binary", bits, drop=("text",))
     got = sorted((r.doc_id, r.lang, bytes(r.bits)) for r in read.collect())
-    x = np.unpackbits(np.frombuffer(b"".join(r[2] for r in got), np.uint8)).reshape(-1, BUCKETS)
-    return fit_languages(x, [r[1] for r in got])
+    bits_of = np.frombuffer(b"".join(r[2] for r in got), np.uint8).reshape(-1, BUCKETS // 8)
+    return fit_languages(bits_of, [r[1] for r in got])
 
 
 def identify(documents: DataFrame, model: Languages) -> DataFrame:
