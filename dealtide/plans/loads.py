@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ from dealtide.sources.tables import Load, Mark, Table, greatest
 ORDER = "_increment"
 # Under this name a gold table remembers the silver version it was built from.
 BUILT_FROM = "silver_version"
+# A silver commit's load id is this and the bronze version that it consumed.
+CONSUMED = "bronze-"
 
 # Gold tables built from the flat sales table, besides the aggregates.
 DIMENSIONS: Mapping[str, Callable[[DataFrame], DataFrame]] = {
@@ -49,6 +52,12 @@ def ordering_value(source: Source) -> Column:
     return named(source.watermark)
 
 
+def consumed(silver: Table) -> int | None:
+    """The bronze version that a silver table was last built from."""
+    found = [int(c.load_id.split("-")[1]) for c in silver.commits() if (c.load_id or "").startswith(CONSUMED)]
+    return found[-1] if found else None
+
+
 class Lake:
     """Tables and run log below one shared folder."""
 
@@ -80,9 +89,10 @@ class Lake:
         )
 
     def _logged(
-        self, name: str, origin: str, target: str, partial: bool, work: Callable[[], Load], note: str | None = None
+        self, name: str, origin: str, target: str, partial: bool, work: Callable[[], Load], note: str | None = None,
+        kind: str | None = None,
     ) -> Load:
-        run = self.log.start(name, origin, target, "incremental" if partial else "full")
+        run = self.log.start(name, origin, target, kind or ("incremental" if partial else "full"))
         try:
             load = work()
         except Exception as error:
@@ -97,6 +107,8 @@ class Lake:
         Rows whose watermark value cannot be read enter with a full load only, since
         nothing tells whether an increment has seen them before.
         """
+        if lookback_days and not source.key:
+            raise ValueError(f"{source.name} has no key, so rows that a look-back reads again could not be told apart")
         partial = source.incremental(incremental)
         table = self.table(source.bronze_table)
         last = table.mark(source.watermark) if partial else None
@@ -115,26 +127,37 @@ class Lake:
     def refine(self, source: Source, incremental: bool = True) -> tuple[Load, DataFrame]:
         """Bronze to silver; also gives the quality report of the rows just read.
 
-        Increments are merged where the source has a key and appended where it has none.
+        An increment is what bronze committed since silver was last built, so late rows that a
+        look-back admitted reach silver. It is merged where the source has a key and appended
+        where it has none. If bronze was replaced meanwhile, all of it is read.
         Without ``incremental`` the table is replaced.
         """
         partial = source.incremental(incremental)
-        table = self.table(source.silver_table)
+        table, bronze = self.table(source.silver_table), self.table(source.bronze_table)
         last = table.mark(source.watermark) if partial else None
-        raw = self.table(source.bronze_table).read()
-        if source.watermark:
-            raw = increment(raw, ORDER, last)
+        version = bronze.version()
+        seen = consumed(table) if partial else None
+        if seen == version:
+            raw = bronze.read().where("false")
+        else:
+            # what bronze committed since, also rows dated before silver's watermark
+            raw = bronze.appended_since(seen) if seen is not None else None
+            partial = partial and (raw is not None or seen is None)
+            raw = bronze.read() if raw is None else raw
+        load_id = f"{CONSUMED}{version}" if partial else f"{CONSUMED}{version}-{uuid4().hex}"
+        merged = bool(incremental and source.key)
         changed = apply_transforms(raw, source.transforms)
 
         def work() -> Load:
             rows = kept(changed, source.rules)
             mark = greatest(rows, ORDER, last, stored_as=source.watermark) if source.watermark else None
-            if incremental and source.key:
-                return table.merge(rows, [source.key], [ORDER] if source.watermark else [], mark=mark)
-            return (table.append if partial else table.replace)(rows, mark=mark)
+            if merged:
+                return table.merge(rows, [source.key], [ORDER] if source.watermark else [], load_id, mark=mark)
+            return (table.append if partial else table.replace)(rows, load_id, mark=mark)
 
         note = increment_note(source.watermark or "", last, last is not None)
-        load = self._logged(source.name, source.bronze_table, source.silver_table, partial, work, note)
+        kind = "merge" if merged and not partial else None
+        load = self._logged(source.name, source.bronze_table, source.silver_table, partial, work, note, kind)
         return load, report(changed, source.rules)
 
     def _gold(self, name: str, build: Callable[[DataFrame], DataFrame], sales: Table) -> Load:

@@ -22,7 +22,7 @@ _SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 
 def shuffle_partitions(shuffled_bytes: int) -> int:
     """Partitions for the largest shuffle; AQE merges those that turn out small."""
-    return min(max(200, -(-shuffled_bytes // _SHUFFLE_PARTITION_BYTES)), 100_000)
+    return max(200, -(-shuffled_bytes // _SHUFFLE_PARTITION_BYTES))
 
 
 def build_session(

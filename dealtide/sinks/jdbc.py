@@ -57,10 +57,19 @@ def write_options(
     return options | {k: v for k, v in given.items() if v is not None}
 
 
+def spread(df: DataFrame, options: Mapping[str, str]) -> DataFrame:
+    """The rows shuffled to as many partitions as connections.
+
+    The writer would otherwise coalesce to that number without a shuffle, and the plan that makes
+    the rows would run in so few tasks.
+    """
+    return df.repartition(int(options["numPartitions"]))
+
+
 def write_table(df: DataFrame, url: str, table: str, replace: bool = False, **options: object) -> None:
     """Append to a table or replace its rows."""
     prepared = write_options(url, table, replace=replace, **options)
-    df.write.format("jdbc").options(**prepared).mode("overwrite" if replace else "append").save()
+    spread(df, prepared).write.format("jdbc").options(**prepared).mode("overwrite" if replace else "append").save()
 
 
 def stage_upsert(df: DataFrame, url: str, table: str, **options: object) -> str:
@@ -70,7 +79,8 @@ def stage_upsert(df: DataFrame, url: str, table: str, **options: object) -> str:
     :func:`dealtide.operators.merge.merge_rows`.
     """
     staging = f"{table}_temp"
-    df.write.format("jdbc").options(**write_options(url, staging, **options)).mode("overwrite").save()
+    prepared = write_options(url, staging, **options)
+    spread(df, prepared).write.format("jdbc").options(**prepared).mode("overwrite").save()
     return staging
 
 
@@ -95,12 +105,18 @@ def read_table(
     table: str,
     partition_column: str | None = None,
     bounds: tuple[object, object] | None = None,
-    partitions: int = 8,
+    partitions: int | None = None,
+    one_task: bool = False,
     **options: str,
 ) -> DataFrame:
-    """Scan of a table, split by the ranges of a column where one is given."""
+    """Scan of a table, split by the ranges of a column.
+
+    Without column, bounds and number of ranges one task would read all; that has to be asked for.
+    """
+    if not (partition_column and bounds and partitions) and not one_task:
+        raise ValueError("give partition_column, bounds and partitions, or one_task=True for a small table")
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options)
-    if partition_column and bounds:
+    if partition_column and bounds and partitions:
         reader = (
             reader.option("partitionColumn", partition_column)
             .option("lowerBound", str(bounds[0]))

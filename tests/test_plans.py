@@ -116,7 +116,8 @@ def test_monthly_refresh_skips_other_months(spark, sales, tmp_path):
 
 
 def test_partitions_follow_the_bytes():
-    assert shuffle_partitions(1) == 200 and shuffle_partitions(1 << 40) == 8192 and shuffle_partitions(1 << 50) == 100_000
+    assert shuffle_partitions(1) == 200 and shuffle_partitions(1 << 40) == 8192
+    assert shuffle_partitions(40 << 40) == 327_680 and shuffle_partitions(1 << 50) == 8_388_608
 
 
 def test_fact_ids_and_copies(sales):
