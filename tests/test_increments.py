@@ -179,3 +179,21 @@ def test_stream_takes_new_files_only(spark, tmp_path):
     run()
     assert bag(table.read()) == [(1, "a", 5), (2, "new", 6), (3, "c", 1)]
     assert copies.read().count() == 5 and table.version() == 2
+
+
+def test_late_rows_reach_silver_once(spark, tmp_path):
+    from dealtide.plans.loads import Lake
+    from dealtide.sources.catalog import SALES, SOURCES
+
+    dates, lake = SOURCES["dates"], Lake(spark, str(tmp_path / "lake"))
+    head = "full_date,date_id,day,month,year,quarter\n"
+    exports = ["2017-01-01,a,1,1,2017,1\n2017-02-01,b,1,2,2017,1\n", "2017-01-20,c,20,1,2017,1\n2017-02-03,d,3,2,2017,1\n"]
+    for n, rows in enumerate(exports):
+        path = tmp_path / f"export{n}.csv"
+        path.write_text(head + rows)
+        lake.ingest(dates, str(path), lookback_days=30 * n)
+        for _ in range(2):
+            lake.refine(dates)
+    assert sorted(r.date_id for r in lake.table(dates.silver_table).read().collect()) == ["a", "b", "c", "d"]
+    with pytest.raises(ValueError, match="no key"):
+        lake.ingest(SALES, str(path), lookback_days=30)
