@@ -317,6 +317,17 @@ SELECT sale_date AS date_value, CAST(year(sale_date) AS BIGINT) AS year, CAST(mo
   closed AS closed_opportunity, active AS active_opportunity, latest AS latest_status_entry,
   days AS sales_cycle_days
 FROM sales""",
+    "star_join_moving_leads": f"""WITH {SALES}
+SELECT sale_date AS date_value, CAST(year(sale_date) AS BIGINT) AS year, CAST(month(sale_date) AS BIGINT) AS month,
+  salesperson AS salesperson_name, lead_name, CASE WHEN closed THEN 'done' ELSE segment END AS segment, region,
+  stage AS stage_name, target_close AS target_close_date, forecast AS forecasted_monthly_revenue,
+  weighted AS weighted_revenue, closed AS closed_opportunity, active AS active_opportunity,
+  latest AS latest_status_entry, days AS sales_cycle_days
+FROM sales""",
+    "lake_rejected": f"""WITH {SALES}, named AS (
+  SELECT {SALES_NAMED} FROM sales WHERE region = 'EUROPE' AND stage = 'Lead'
+)
+SELECT * REPLACE (CAST(NULL AS VARCHAR) AS lead_name), 'not_null(lead_name)' AS failed_rules FROM named""",
     "sales_summary": _numbered(
         f"""mart AS (
   SELECT salesperson AS salesperson_name, region, segment, {TOTALS},

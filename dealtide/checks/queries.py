@@ -12,7 +12,7 @@ from dealtide.operators import explore, increments, merge, quality, runlog
 from dealtide.operators.numbering import number_rows
 from dealtide.operators.transforms import apply_transforms
 from dealtide.plans import dashboard, marts, star
-from dealtide.plans.loads import Lake
+from dealtide.plans.loads import REJECTED, Lake
 from dealtide.plans.sales_view import LINE_KEY, normalized_from_sales, read_table, sales_from_orders
 from dealtide.plans.silver import to_silver
 from dealtide.scratch import materialize, scratch_path
@@ -98,6 +98,18 @@ def star_join(spark, folder):
     return star.star_join(star.fact_rows(sales), people, leads, dates, stages)
 
 
+@query
+def star_join_moving_leads(spark, folder):
+    """Leads change their segment once a deal is closed; each fact still meets one of them."""
+    moved = F.when(F.col("closed_opportunity"), "done").otherwise(F.col("segment"))
+    sales = materialize(sales_from_orders(spark, folder).withColumn("segment", moved), "sales")
+    leads = materialize(star.dim_lead(sales, key_by="triple"), "dim_lead")
+    people, dates, stages = (
+        materialize(build(sales), build.__name__) for build in (star.dim_salesperson, star.dim_date, star.dim_stage)
+    )
+    return star.star_join(star.fact_rows(sales, key_by="triple"), people, leads, dates, stages)
+
+
 # ---- aggregate tables --------------------------------------------------------------
 
 
@@ -537,6 +549,24 @@ def lake_load(spark, folder):
     return lake.table(marts.TRENDS.name).read()
 
 
+@query
+def lake_rejected(spark, folder):
+    """Rows that the rules of silver reject in two exports of the sales file, each once."""
+    sales = _stored_sales(spark, folder)
+    known = F.when((F.col("region") != "EUROPE") | (F.col("opportunity_stage") != "Lead"), F.col("lead_name"))
+    sales = sales.withColumn("lead_name", known)
+    first, second = scratch_path(spark, "export-1"), scratch_path(spark, "export-2")
+    write_csv(_raw_sales(sales.where(F.col("sale_date") <= F.lit(CUT).cast("date"))), first)
+    write_csv(_raw_sales(sales), second)
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    for path in (first, second):
+        lake.ingest(catalog.SALES, path)
+        lake.refine(catalog.SALES)
+    names = [new for _, new in SALES_FILE_COLUMNS.values()]
+    rejected = lake.table(catalog.SALES.silver_table + REJECTED).read()
+    return rejected.select(*names, F.concat_ws("; ", "failed_rules").alias("failed_rules"))
+
+
 # ---- sources and sinks -------------------------------------------------------------
 
 

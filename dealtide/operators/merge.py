@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealtide.functions.columns import all_present, named
-from dealtide.scratch import materialize
+from dealtide.scratch import append_row, folder_exists, materialize, scratch_path
 
 
 def _split_by_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -79,6 +79,35 @@ def merge_rows(
     return apply_increment(target, reduce_increment(incoming, keys, newest), keys)
 
 
+# Log of partition merges below the table: what was written aside, and whether it is in place.
+_MERGES = "aside string, done boolean"
+
+
+def _put_in_place(merged: DataFrame, path: str, aside: str, partition_by: Sequence[str]) -> None:
+    spark = merged.sparkSession
+    (
+        merged.hint("rebalance", *partition_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )
+    append_row(spark, f"{path}/_merges", {"aside": aside, "done": True}, _MERGES)
+
+
+def finish_merges(target: DataFrame, path: str, partition_by: Sequence[str]) -> DataFrame:
+    """Put in place what an interrupted ``merge_partitions`` of ``path`` left aside; the scan to go on with."""
+    spark = target.sparkSession
+    if not folder_exists(spark, f"{path}/_merges"):
+        return target
+    log = spark.read.schema(_MERGES).parquet(f"{path}/_merges")
+    # one writer at a time, so one entry at most
+    waiting = log.groupBy("aside").agg(F.bool_or("done").alias("done")).where("NOT done").collect()
+    for entry in waiting:
+        _put_in_place(spark.read.schema(target.schema).parquet(entry.aside), path, entry.aside, partition_by)
+    return spark.read.schema(target.schema).parquet(path) if waiting else target
+
+
 def merge_partitions(
     target: DataFrame,
     path: str,
@@ -90,20 +119,20 @@ def merge_partitions(
     """Upsert that rewrites only those partitions of ``path`` that the increment meets.
 
     ``target`` is the scan of ``path``. The partition columns must be part of the key,
-    so that a row never changes its partition. The new partitions are written aside
-    before they replace the old ones; after a failure the same call can be repeated.
+    so that a row never changes its partition. The new partitions are written aside, and
+    that is logged, before they replace the old ones. After a failure the same call can be
+    repeated: it first finishes what the log shows as waiting, so no row is lost even if
+    a partition was already deleted. Until then readers may miss that partition.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be part of the key")
+    target = finish_merges(target, path, partition_by)
+    spark = target.sparkSession
     latest = reduce_increment(incoming, keys, newest)
     met = _keys_of(latest, partition_by).distinct()
     affected = target.join(met, list(partition_by), "left_semi")
     merged = apply_increment(affected, latest, keys)
-    aside = materialize(merged, "merged")
-    (
-        aside.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    aside = scratch_path(spark, "merged")
+    merged.write.parquet(aside)
+    append_row(spark, f"{path}/_merges", {"aside": aside, "done": False}, _MERGES)
+    _put_in_place(spark.read.schema(merged.schema).parquet(aside), path, aside, partition_by)

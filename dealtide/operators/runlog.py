@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from dealtide.scratch import append_row
 
 RUNNING, COMPLETED, FAILED = "RUNNING", "COMPLETED", "FAILED"
+# A full load whose source had no rows; the table keeps its content.
+EMPTY = "EMPTY_SOURCE"
 
 LOG_SCHEMA = (
     "run_id string, pipeline_id string, source_name string, destination_name string, "
@@ -58,6 +60,9 @@ class RunLog:
     def fail(self, run: Mapping[str, object], error: str, records: int = 0) -> None:
         self._append({**run, "status": FAILED, "records_processed": records, "error": error})
 
+    def empty(self, run: Mapping[str, object], error: str) -> None:
+        self._append({**run, "status": EMPTY, "records_processed": 0, "error": error})
+
     def rows(self) -> DataFrame:
         return self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
 

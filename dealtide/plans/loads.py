@@ -8,6 +8,7 @@ the tables and can simply be run again.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial as partial_of
 from functools import reduce
 from uuid import uuid4
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from dealtide.functions.columns import named, parse_date
 from dealtide.operators.increments import increment
-from dealtide.operators.quality import kept, report
+from dealtide.operators.quality import kept, quarantine, report
 from dealtide.operators.runlog import RunLog, increment_note
 from dealtide.operators.transforms import apply_transforms
 from dealtide.plans import dashboard, marts, star
@@ -30,11 +31,16 @@ ORDER = "_increment"
 BUILT_FROM = "silver_version"
 # A silver commit's load id is this and the bronze version that it consumed.
 CONSUMED = "bronze-"
+# Ending of the tables that hold the rows which silver's rules reject.
+REJECTED = "_rejected"
+
+# Leads are known by name, segment and region: by name alone, one that moves would repeat.
+LEAD_KEY = "triple"
 
 # Gold tables built from the flat sales table, besides the aggregates.
 DIMENSIONS: Mapping[str, Callable[[DataFrame], DataFrame]] = {
     "gold_dim_salesperson": star.dim_salesperson,
-    "gold_dim_lead": star.dim_lead,
+    "gold_dim_lead": partial_of(star.dim_lead, key_by=LEAD_KEY),
     "gold_dim_date": star.dim_date,
     "gold_dim_opportunity_stage": star.dim_stage,
 }
@@ -54,8 +60,8 @@ def ordering_value(source: Source) -> Column:
 
 def consumed(silver: Table) -> int | None:
     """The bronze version that a silver table was last built from."""
-    found = [int(c.load_id.split("-")[1]) for c in silver.commits() if (c.load_id or "").startswith(CONSUMED)]
-    return found[-1] if found else None
+    found = silver.newest_load(CONSUMED)
+    return int(found.split("-")[1]) if found else None
 
 
 class Lake:
@@ -90,7 +96,7 @@ class Lake:
 
     def _logged(
         self, name: str, origin: str, target: str, partial: bool, work: Callable[[], Load], note: str | None = None,
-        kind: str | None = None,
+        kind: str | None = None, if_empty: str | None = None,
     ) -> Load:
         run = self.log.start(name, origin, target, kind or ("incremental" if partial else "full"))
         try:
@@ -98,14 +104,18 @@ class Lake:
         except Exception as error:
             self.log.fail(run, str(error))
             raise
-        self.log.complete(run, load.rows, note)
+        if if_empty and not load.rows:
+            self.log.empty(run, if_empty)
+        else:
+            self.log.complete(run, load.rows, note)
         return load
 
     def ingest(self, source: Source, path: str, incremental: bool = True, lookback_days: int = 0) -> Load:
         """Raw files to bronze: append what is past the watermark, or replace in full.
 
         Rows whose watermark value cannot be read enter with a full load only, since
-        nothing tells whether an increment has seen them before.
+        nothing tells whether an increment has seen them before. If a full load, or the first one,
+        finds no rows, the table stays as it is and the run is logged as one of an empty source.
         """
         if lookback_days and not source.key:
             raise ValueError(f"{source.name} has no key, so rows that a look-back reads again could not be told apart")
@@ -116,13 +126,14 @@ class Lake:
         def work() -> Load:
             rows = read_source(self.spark, source.format, path, source.columns)
             if not source.watermark:
-                return table.replace(rows)
+                return table.replace(rows, even_empty=False)
             rows = increment(rows.withColumn(ORDER, ordering_value(source)), ORDER, last, lookback_days)
             write = table.append if partial else table.replace
-            return write(rows, mark=greatest(rows, ORDER, last, stored_as=source.watermark))
+            return write(rows, mark=greatest(rows, ORDER, last, stored_as=source.watermark), even_empty=False)
 
         note = increment_note(source.watermark or "", last, last is not None)
-        return self._logged(source.bronze_table, path, source.bronze_table, partial, work, note)
+        if_empty = f"no rows in {path}; {source.bronze_table} keeps its content" if last is None else None
+        return self._logged(source.bronze_table, path, source.bronze_table, partial, work, note, if_empty=if_empty)
 
     def refine(self, source: Source, incremental: bool = True) -> tuple[Load, DataFrame]:
         """Bronze to silver; also gives the quality report of the rows just read.
@@ -131,6 +142,8 @@ class Lake:
         look-back admitted reach silver. It is merged where the source has a key and appended
         where it has none. If bronze was replaced meanwhile, all of it is read.
         Without ``incremental`` the table is replaced.
+
+        Rows that break a rule go to the table of rejected rows, with the rules they break.
         """
         partial = source.incremental(incremental)
         table, bronze = self.table(source.silver_table), self.table(source.bronze_table)
@@ -149,11 +162,16 @@ class Lake:
         changed = apply_transforms(raw, source.transforms)
 
         def work() -> Load:
+            if source.rules:
+                # before silver, whose load id makes a repeated run pass both by
+                aside = self.table(source.silver_table + REJECTED)
+                write = aside.append if partial and seen is not None else aside.replace
+                write(quarantine(changed, source.rules), load_id)
             rows = kept(changed, source.rules)
             mark = greatest(rows, ORDER, last, stored_as=source.watermark) if source.watermark else None
             if merged:
                 return table.merge(rows, [source.key], [ORDER] if source.watermark else [], load_id, mark=mark)
-            return (table.append if partial else table.replace)(rows, load_id, mark=mark)
+            return (table.append if partial else table.replace)(rows, load_id, mark=mark, even_empty=True)
 
         note = increment_note(source.watermark or "", last, last is not None)
         kind = "merge" if merged and not partial else None
@@ -172,7 +190,7 @@ class Lake:
         """The dimensions and the fact, in full."""
         sales = self.table(SALES.silver_table)
         built = {name: self._gold(name, dimension, sales) for name, dimension in DIMENSIONS.items()}
-        built[FACT] = self._gold(FACT, star.fact_sales, sales)
+        built[FACT] = self._gold(FACT, partial_of(star.fact_sales, key_by=LEAD_KEY), sales)
         return built
 
     def build_mart(self, mart: marts.Mart, incremental: bool = True) -> Load:

@@ -217,9 +217,9 @@ TRENDS = Mart(
     monthly=True,
 )
 # The same with sketches instead of exact distinct counts, for tables where the
-# exact ones cost too much.
+# exact ones cost too much. A table of its own, as the two must not meet in one.
 APPROXIMATE_TRENDS = Mart(
-    "gold_monthly_sales_trends",
+    "gold_monthly_sales_trends_approximate",
     "trends_id",
     TRENDS.groups,
     TRENDS.required,
@@ -234,9 +234,9 @@ LEAD_SCORING = Mart(
     _scoring,
 )
 # The outcome of a lead is by default decided by its alphabetically greatest stage;
-# here one won opportunity is enough.
+# here one won opportunity is enough, in a table of its own.
 LEAD_SCORING_ANY_WON = Mart(
-    "gold_lead_scoring",
+    "gold_lead_scoring_any_won",
     "scoring_id",
     LEAD_SCORING.groups,
     LEAD_SCORING.required,

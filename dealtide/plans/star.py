@@ -126,8 +126,11 @@ def star_join(
     """The fact with the names behind its keys.
 
     Pass the dimensions as stored tables: Spark then knows their sizes and broadcasts
-    the small ones, which leaves the fact where it is.
+    the small ones, which leaves the fact where it is. A lead key that repeats in its
+    dimension, as that by name does when a lead moves, would multiply facts and is an error.
     """
+    if not repeated_keys(leads, "lead_id").isEmpty():
+        raise ValueError("lead_id repeats in the leads; build fact and leads with key_by='triple'")
     return (
         fact.join(stages, "stage_id")
         .join(dates, "date_id")

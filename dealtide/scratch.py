@@ -33,6 +33,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid4().hex}"
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Asks the file system itself, so that a missing folder is no failed query."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def append_row(spark: SparkSession, path: str, row: Mapping[str, object], shape: str) -> None:
     """Add one row to a log. It is built from literals, without a Python worker."""
     columns = [c.strip().split(" ") for c in shape.split(",")]

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dealtide.functions.columns import named, row_count
 from dealtide.operators.merge import apply_increment, reduce_increment
-from dealtide.scratch import append_row
+from dealtide.scratch import append_row, folder_exists
 from dealtide.sinks.files import write_parquet
 
 _COMMIT = (
     "version bigint, mode string, folder string, load_id string, written bigint, "
-    "column_name string, max_value string, committed_at timestamp"
+    "column_name string, max_value string, committed_at timestamp, shape string"
 )
 
 
@@ -62,61 +63,79 @@ class Table:
     def log(self) -> DataFrame:
         return self.spark.read.schema(_COMMIT).parquet(f"{self.path}/_log")
 
-    def commits(self) -> list[Row]:
-        """Commits in order; one small row per load."""
-        try:
-            found = self.log().collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+    def _of_log(self, condition: Column, *wanted: Column) -> Row | None:
+        """One row of aggregates of the log; none before the first write."""
+        if not folder_exists(self.spark, f"{self.path}/_log"):
+            return None
+        return self.log().where(condition).agg(*wanted).first()
+
+    def commits(self, after: int = 0) -> list[Row]:
+        """Commits after a version, in order; one small row per load."""
+        if not folder_exists(self.spark, f"{self.path}/_log"):
             return []
-        return sorted(found, key=lambda c: c.version)
+        return sorted(self.log().where(F.col("version") > after).collect(), key=lambda c: c.version)
 
     def exists(self) -> bool:
-        return bool(self.commits())
+        return self.version() > 0
 
     def version(self) -> int:
-        done = self.commits()
-        return done[-1].version if done else 0
+        found = self._of_log(F.lit(True), F.max("version"))
+        return (found and found[0]) or 0
 
     def mark(self, column: str) -> str | None:
         """The last stored progress; none before the first load."""
-        stored = [c.max_value for c in self.commits() if c.column_name == column and c.max_value is not None]
-        return stored[-1] if stored else None
+        stored = (F.col("column_name") == column) & F.col("max_value").isNotNull()
+        found = self._of_log(stored, F.max_by("max_value", "version"))
+        return found and found[0]
+
+    def newest_load(self, prefix: str) -> str | None:
+        """The load id of the last commit whose id starts so."""
+        found = self._of_log(F.col("load_id").startswith(prefix), F.max_by("load_id", "version"))
+        return found and found[0]
 
     def _scan(self, commits: Sequence[Row]) -> DataFrame:
-        return self.spark.read.parquet(*[f"{self.path}/{c.folder}" for c in commits])
+        shape = commits[-1].shape
+        reader = self.spark.read.schema(T.StructType.fromJson(json.loads(shape))) if shape else self.spark.read
+        return reader.parquet(*[f"{self.path}/{c.folder}" for c in commits])
 
     def read(self) -> DataFrame:
         """The last full state and what was appended since."""
-        live: list[Row] = []
-        for c in self.commits():
-            live = [c] if c.mode == "replace" else [*live, c]
+        found = self._of_log(F.col("mode") == "replace", F.max("version"))
+        live = self.commits(after=((found and found[0]) or 1) - 1)
         if not live:
             raise ValueError(f"no table at {self.path}")
         return self._scan(live)
 
     def appended_since(self, version: int) -> DataFrame | None:
         """Rows appended after a version; none if nothing came or the table was replaced."""
-        later = [c for c in self.commits() if c.version > version]
+        later = self.commits(after=version)
         if not later or any(c.mode == "replace" for c in later):
             return None
         return self._scan(later)
 
+    def _done(self, load_id: str | None) -> bool:
+        found = self._of_log(F.col("load_id") == load_id, F.count("*")) if load_id is not None else None
+        return bool(found and found[0])
+
     def _commit(
-        self, df: DataFrame, mode: str, load_id: str | None, partition_by: Sequence[str], mark: Mark | None
+        self,
+        df: DataFrame,
+        mode: str,
+        load_id: str | None,
+        partition_by: Sequence[str],
+        mark: Mark | None,
+        even_empty: bool,
     ) -> Load:
-        done = self.commits()
-        if load_id is not None and any(c.load_id == load_id for c in done):
+        if self._done(load_id):
             return Load(0, False)
-        version = done[-1].version + 1 if done else 1
+        version = self.version() + 1
         folder = f"v{version}-{uuid4().hex}"
         seen = Observation()
         wanted = [row_count().alias("rows")] + ([mark.metric] if mark and mark.metric is not None else [])
         write_parquet(df, f"{self.path}/{folder}", partition_by=partition_by, observe=(seen, wanted))
         measured = dict(seen.get)
         rows = measured.pop("rows")
-        if rows == 0:
+        if rows == 0 and not even_empty:
             return Load(0, False, measured)
         column, value = (mark.column, measured.get("mark", mark.value)) if mark else (None, None)
         row = {
@@ -128,6 +147,7 @@ class Table:
             "column_name": column,
             "max_value": value,
             "committed_at": datetime.now(timezone.utc),
+            "shape": df.schema.json(),
         }
         append_row(self.spark, f"{self.path}/_log", row, _COMMIT)
         return Load(rows, True, measured)
@@ -138,9 +158,10 @@ class Table:
         load_id: str | None = None,
         partition_by: Sequence[str] = (),
         mark: Mark | None = None,
+        even_empty: bool = False,
     ) -> Load:
-        """Add rows. No rows, or a load id already seen: nothing changes."""
-        return self._commit(df, "append", load_id, partition_by, mark)
+        """Add rows. A load id already seen changes nothing, nor do no rows, unless that is to be noted too."""
+        return self._commit(df, "append", load_id, partition_by, mark, even_empty)
 
     def replace(
         self,
@@ -148,9 +169,10 @@ class Table:
         load_id: str | None = None,
         partition_by: Sequence[str] = (),
         mark: Mark | None = None,
+        even_empty: bool = True,
     ) -> Load:
-        """New content, which may be computed from the present one. No rows: as before."""
-        return self._commit(df, "replace", load_id, partition_by, mark)
+        """New content, which may be computed from the present one. No rows give an empty table, if wanted."""
+        return self._commit(df, "replace", load_id, partition_by, mark, even_empty)
 
     def merge(
         self,
@@ -161,9 +183,14 @@ class Table:
         partition_by: Sequence[str] = (),
         mark: Mark | None = None,
     ) -> Load:
-        """Upsert by key; the first one only reduces the increment to one row per key."""
+        """Upsert by key; the first one only reduces the increment to one row per key.
+
+        An empty increment leaves the rows as they are; its load id is noted.
+        """
+        if self._done(load_id):
+            return Load(0, False)
         latest = reduce_increment(incoming, keys, newest)
         if latest.isEmpty():
-            return Load(0, False)
+            return self._commit(latest, "append", load_id, (), mark, load_id is not None)
         merged = apply_increment(self.read(), latest, keys) if self.exists() else latest
-        return self._commit(merged, "replace", load_id, partition_by, mark)
+        return self._commit(merged, "replace", load_id, partition_by, mark, True)

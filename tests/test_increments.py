@@ -13,7 +13,7 @@ from dealtide.functions.columns import parse_date
 from dealtide.operators import increments, merge
 from dealtide.operators.numbering import number_rows
 from dealtide.scratch import scratch_root
-from dealtide.sources.tables import Mark, Table, greatest
+from dealtide.sources.tables import Load, Mark, Table, greatest
 from dealtide.streaming.available_now import append_stream, file_stream, merge_stream
 
 
@@ -73,6 +73,48 @@ def test_partition_merge_touches_only_its_partitions(spark, tmp_path):
         merge.merge_partitions(spark.read.parquet(path), path, incoming, ["k"], ["p"])
 
 
+def test_interrupted_partition_merge_is_finished(spark, tmp_path, monkeypatch):
+    whole, torn = str(tmp_path / "whole"), str(tmp_path / "torn")
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "p int, k int, v string")
+    rows.write.partitionBy("p").parquet(whole)
+    incoming = spark.createDataFrame([(1, 1, "A")], "p int, k int, v string")
+
+    def stop(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="lost"):
+        patch.setattr(merge, "_put_in_place", stop)
+        merge.merge_partitions(spark.read.parquet(whole), whole, incoming, ["p", "k"], ["p"])
+    # the same state with the partition already deleted
+    rows.where("p <> 1").write.partitionBy("p").parquet(torn)
+    spark.read.parquet(f"{whole}/_merges").write.parquet(f"{torn}/_merges")
+    for path in (whole, torn):
+        merge.merge_partitions(spark.read.parquet(path), path, incoming, ["p", "k"], ["p"])
+        assert bag(spark.read.parquet(path).select("p", "k", "v")) == [(1, 1, "A"), (1, 2, "b"), (2, 1, "c")]
+
+
+def test_empty_replacement_empties_the_table(spark, tmp_path):
+    rows = spark.createDataFrame([("01", 1)], "p string, n int")
+    for partition_by in ((), ("p",)):
+        table = Table(spark, str(tmp_path / f"t{len(partition_by)}"))
+        table.append(rows, partition_by=partition_by)
+        assert table.read().select("p").first().p == "01"
+        assert table.replace(rows.where("n > 1"), partition_by=partition_by) == Load(0, True)
+        assert table.version() == 2 and table.read().select("p", "n").collect() == []
+        assert not table.append(rows.where("n > 1")).committed
+
+
+def test_reading_needs_only_the_commits_since_the_last_replacement(spark, tmp_path):
+    table = Table(spark, str(tmp_path / "t"))
+    rows = spark.createDataFrame([(1,)], "n int")
+    for _ in range(3):
+        table.append(rows)
+    table.replace(rows)
+    table.append(rows)
+    assert [c.version for c in table.commits(after=3)] == [4, 5] and table.read().count() == 2
+    assert table.appended_since(4).count() == 1 and table.appended_since(3) is None
+
+
 def test_watermark_is_compared_as_a_date(spark):
     df = spark.createDataFrame([("9/9/2016",), ("10/1/2016",)], "d string").select(parse_date(F.col("d")).alias("d"))
     assert bag(increments.increment(df, "d", "2016-09-09")) == [(date(2016, 10, 1),)]

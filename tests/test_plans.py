@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from dealtide.operators import explore, runlog
 from dealtide.operators.numbering import with_address
 from dealtide.plans import dashboard, marts, star
-from dealtide.plans.loads import Lake
+from dealtide.plans.loads import REJECTED, Lake
 from dealtide.scratch import materialize
 from dealtide.session import shuffle_partitions
 from dealtide.sinks import jdbc
@@ -150,6 +150,8 @@ def test_lead_keys(spark):
     facts = star.fact_rows(df, key_by="triple")
     joined = star.star_join(facts, star.dim_salesperson(df), triple, star.dim_date(df), star.dim_stage(df))
     assert joined.count() == 2 and joined.select("segment").distinct().count() == 2
+    with pytest.raises(ValueError, match="repeats"):
+        star.star_join(star.fact_rows(df), star.dim_salesperson(df), star.dim_lead(df), star.dim_date(df), star.dim_stage(df))
     numbered = star.fact_sales(df, key_by="triple", key_kind="xxhash64")
     assert numbered.select("lead_id").distinct().count() == 2
     with pytest.raises(ValueError):
@@ -287,8 +289,18 @@ def test_lake_of_the_flat_file(spark, tmp_path):
     assert lake.refine(source, incremental=False)[0].rows == 1 and table.read().count() == 1
     assert lake.build_mart(marts.TRENDS).rows == 1
 
+    rejected = lake.table(source.silver_table + REJECTED)
+    assert rejected.read().count() == 0
+    file.write_text(SALES_HEADER + "\n")
+    assert not lake.ingest(source, str(file), incremental=False).committed  # kept, and said so
+    file.write_text("\n".join([SALES_HEADER, first[1]]) + "\n")
+    lake.ingest(source, str(file), incremental=False)
+    assert lake.refine(source, incremental=False)[0].rows == 0 and table.read().count() == 0
+    assert [tuple(r.failed_rules) for r in rejected.read().collect()] == [("not_null(lead_name)",)]
+    assert lake.build_mart(marts.TRENDS).committed and lake.table(marts.TRENDS.name).read().count() == 0
+
     state = runlog.run_state(lake.log.rows())
-    assert {r.status for r in state.collect()} == {"COMPLETED"} and state.where("duration_seconds < 0").count() == 0
+    assert sorted({r.status for r in state.collect()}) == ["COMPLETED", "EMPTY_SOURCE"] and state.where("duration_seconds < 0").count() == 0
     noted = runlog.run_history(state, "bronze_sales", limit=50).collect()
     assert {(r.incremental_column, r.last_timestamp) for r in noted} == {
         (None, None), ("Date", "2016-09-09"), ("Date", "2016-10-01"),
