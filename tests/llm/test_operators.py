@@ -165,8 +165,32 @@ def test_near_copies_keep_one(spark, tmp_path):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4] and kept.columns == ["doc_id", "text"]
 
 
+def test_just_similar_pairs_are_found_by_some_family(spark, tmp_path):
+    # 60 pairs with a Jaccard similarity of 0.81 to 0.83 of their five-word shingles, and 60 of 0.75 to 0.78
+    rng, rows = random.Random(8), []
+    for pair in range(120):
+        words = [f"w{rng.getrandbits(40)}" for _ in range(204)]
+        changed = list(words)
+        for at in range(10, 10 + 40 * (4 if pair < 60 else 5), 40):
+            changed[at] = "changed"
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(changed))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    kept = {r.doc_id for r in simhash.keep_one(spark.read.parquet(str(tmp_path / "t"))).collect()}
+    assert all(2 * pair in kept for pair in range(120))
+    assert all(2 * pair + 1 in kept for pair in range(60, 120))
+    assert sum(2 * pair + 1 in kept for pair in range(60)) <= 2
+
+
+def test_families_of_fingerprints():
+    text = b"one two three four five six seven eight nine ten"
+    own = simhash.fingerprints(text, 2, families=3)
+    assert own[0] == simhash.fingerprints(text, 2)[0] and len(set(own.tolist())) == 3
+    assert simhash.fingerprints(b" ", 2, families=3).tolist() == [0, 0, 0]
+
+
 def test_simhash_of_nothing(none):
     assert simhash.near_groups(none).count() == 0
+    assert simhash.keep_one(none).count() == 0
 
 
 # 3 URL filter
