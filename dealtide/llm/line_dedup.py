@@ -1,6 +1,10 @@
-"""Line deduplication: repeated runs of lines found by prefix doubling, later copies deleted.
+"""Line deduplication: repeated passages found by seeds, and repeated runs of whole lines by prefix doubling; later copies deleted.
 
-The corpus is one sequence of line ids, broken at the ends of documents. Prefix doubling names
+Passages (``dedup_passages``, which the query and the pipeline use) begin and end anywhere in a line. Each
+window of ``min_words`` words has a seed, the least hash of the short runs of words in it. Neighbours with one
+seed are one row. Rows whose seed occurs once have no equal window; the others are compared.
+
+Whole lines (``dedup_lines``): the corpus is one sequence of line ids, broken at the ends of documents. Prefix doubling names
 the runs of 1, 2, 4, ... lines by pairs of names of half the length, over all documents at once;
 equal runs get the same name, which is the place of one of them. Runs that occur once leave
 after each round. Two names that overlap identify a run of any length, so the suffixes that
@@ -25,6 +29,9 @@ from dealtide.llm.common import fold, table
 
 MIN_WORDS = 50
 _WORD = r"[^\x20\x09-\x0D]+"
+_WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
+# Words of the short runs whose least hash is a seed.
+UNIT = 8
 
 
 def _lines(text: Column) -> Column:
@@ -159,5 +166,144 @@ def dedup_lines(documents: DataFrame, key: str = "doc_id", min_words: int = MIN_
     )
 
 
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(_WORD), F.lit(0))
+
+
+def _lesser(values: Column, shift: int) -> Column:
+    """Each value or, if it is less, the one ``shift`` places further on."""
+    return _bound(values, lambda v: F.transform(v, lambda x, i: F.least(x, F.get(v, i + shift))))
+
+
+def _least_ahead(values: Column, width: int) -> Column:
+    """The least of each ``width`` values in a row, by doubling."""
+    least, step = values, 1
+    shifts = []
+    while 2 * step <= width:
+        shifts.append(step)
+        step *= 2
+    for shift in [*shifts, width - step]:
+        least = _lesser(least, shift)
+    return _bound(least, lambda v: F.slice(v, 1, F.size(v) - width + 1))
+
+
+def _seeded(words: Column, least: int) -> Column:
+    """The windows of ``least`` words as runs of neighbours with one seed: first, size, seed and two hashes of all words of the run.
+
+    The seed of a window is the least hash of the short runs of words in it, so equal windows have equal seeds.
+    """
+    unit = max(1, min(UNIT, least // 2))
+
+    def runs(words: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(1), F.size(words) - unit + 1), lambda i: F.xxhash64(F.slice(words, i, F.lit(unit))))
+
+        def by_seed(seeds: Column) -> Column:
+            begins = F.filter(F.sequence(F.lit(0), F.size(seeds) - 1), lambda i: (i == 0) | (F.get(seeds, i) != F.get(seeds, i - 1)))
+
+            def run(begins: Column, first: Column, j: Column) -> Column:
+                size = F.coalesce(F.get(begins, j + 1), F.size(seeds)) - first
+                part = F.slice(words, first + 1, size + least - 1)
+                return F.struct(first.alias("first"), size.alias("size"), F.get(seeds, first).alias("seed"), F.xxhash64(part).alias("h"), F.hash(part).alias("g"))
+
+            return _bound(begins, lambda begins: F.transform(begins, lambda first, j: run(begins, first, j)))
+
+        return _bound(_least_ahead(grams, least - unit + 1), by_seed)
+
+    return _bound(words, lambda words: F.when(F.size(words) >= least, runs(words)))
+
+
+def repeated_words_of(documents: DataFrame, key: str, least: int) -> DataFrame:
+    """(_row, cuts): the words to delete, as disjoint ranges (first, until) in order.
+
+    Runs of windows that are equal as a whole are compared by their hashes; only runs that share a
+    seed and differ, as at the ends of a passage, are compared window by window.
+    """
+    runs = documents.select(F.col(key).alias("_key"), "_row", F.explode(_seeded(_words(F.col("text")), least)).alias("x"))
+    runs = fold(runs.select("_key", "_row", "x.*"), "seeds")
+    # a run longer than a window may repeat itself without overlap
+    often = runs.groupBy("seed").agg(F.sum(F.when(F.col("size") > least, 2).otherwise(1)).alias("n")).where("n > 1").drop("n")
+    known = fold(runs.join(often, "seed"), "known")
+    place = F.struct("_key", "_row", "first")
+    kept = known.groupBy("seed", "size", "h", "g").agg(F.min(place).alias("kept"))
+    later = (F.col("kept._row") != F.col("_row")) | (F.col("kept.first") + least <= F.col("first"))
+    known = fold(known.join(kept, ["seed", "size", "h", "g"]).withColumn("later", later), "compared")
+    whole = known.where("later").select("_row", "first", (F.col("first") + F.col("size") + least - 1).alias("until"))
+
+    rest = known.where("NOT later")
+    mixed = rest.groupBy("seed").agg(F.sum(F.when(F.col("size") > least, 2).otherwise(1)).alias("n")).where("n > 1").drop("n")
+    # a text has as many entries as runs
+    spans = rest.join(mixed, "seed").groupBy("_row").agg(F.collect_list(F.struct("first", "size")).alias("spans"))
+
+    def windows(words: Column) -> Column:
+        def window(at: Column) -> Column:
+            part = F.slice(words, at + 1, F.lit(least))
+            return F.struct(at.alias("first"), F.xxhash64(part).alias("h"), F.hash(part).alias("g"))
+
+        return F.flatten(F.transform("spans", lambda s: F.transform(F.sequence(s["first"], s["first"] + s["size"] - 1), window)))
+
+    single = documents.join(spans, "_row").select(F.col(key).alias("_key"), "_row", F.explode(_bound(_words(F.col("text")), windows)).alias("x"))
+    single = fold(single.select("_key", "_row", "x.*"), "windows")
+    kept = single.groupBy("h", "g").agg(F.min(place).alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
+    copies = single.join(kept, ["h", "g"]).where(later).select("_row", "first", (F.col("first") + least).alias("until"))
+
+    before = Window.partitionBy("_row").orderBy("first", "until").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy("_row").orderBy("first", "until").rowsBetween(Window.unboundedPreceding, 0)
+    gone = whole.union(copies).withColumn("apart", F.coalesce((F.col("first") > F.max("until").over(before)).cast("int"), F.lit(0)))
+    gone = gone.withColumn("part", F.sum("apart").over(so_far))
+    ranges = gone.groupBy("_row", "part").agg(F.min("first").alias("first"), F.max("until").alias("until"))
+    return ranges.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("first", "until"))).alias("cuts"))
+
+
+def _cut(text: Column, cuts: Column) -> Column:
+    """The text without the words in ``cuts``, nor the white space before them. What is left of two lines stays on two lines."""
+    body = F.rtrim(text, F.lit(_WHITE))
+    pieces = F.regexp_extract_all(body, F.lit(rf"[\x20\x09-\x0D]*{_WORD}"), F.lit(0))
+
+    def left(pieces: Column) -> Column:
+        def joined(first: Column, until: Column) -> Column:
+            return F.array_join(F.slice(pieces, first + 1, until - first), "")
+
+        def behind(cut: Column, j: Column) -> Column:
+            until = F.coalesce(F.get(cuts, j + 1)["first"], F.size(pieces))
+
+            def tidy(piece: Column) -> Column:
+                bare = F.ltrim(piece, F.lit(_WHITE))
+                lead = F.substr(piece, F.lit(1), F.length(piece) - F.length(bare))
+                begin = F.when(F.instr(lead, "\n") > 0, F.substr(piece, F.instr(lead, "\n") + 1)).otherwise(bare)
+                parted = (F.instr(lead, "\n") == 0) & (F.instr(joined(cut["first"], cut["until"]), "\n") > 0)
+                return F.when(piece == "", "").when(cut["first"] == 0, begin).when(parted, F.concat(F.lit("\n"), bare)).otherwise(piece)
+
+            return _bound(joined(cut["until"], until), tidy)
+
+        return F.concat(joined(F.lit(0), F.get(cuts, F.lit(0))["first"]), F.array_join(F.transform(cuts, behind), ""))
+
+    rest = _bound(pieces, left)
+    return _bound(rest, lambda rest: F.when(rest == "", "").otherwise(F.concat(rest, F.substr(text, F.length(body) + 1))))
+
+
+def dedup_passages(documents: DataFrame, key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
+    """``documents`` without later copies of repeated passages, with n_lines and n_deleted, the lines before and those fewer after.
+
+    A word is deleted if it lies in a run of ``min_words`` words of one document that also occurs before: in a row with a
+    smaller key (then in table order), or earlier in the text without overlap. Runs begin and end anywhere in a line; only
+    words are compared, not the white space between them. A text whose words all go becomes empty; other texts stay as
+    they are, null and empty ones with 0 lines. Keys, repeated rows, replaced columns and the two reads are as in ``dedup_lines``.
+    """
+    columns = [c for c in documents.columns if c not in ("n_lines", "n_deleted")]
+    rows = documents.select(*columns).withColumn("_row", F.monotonically_increasing_id())
+    marks = repeated_words_of(rows.select(key, "text", "_row"), key, min_words)
+    text = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(_cut(F.col("text"), F.col("cuts")))
+
+    def lines(value: Column) -> Column:
+        return F.when(F.coalesce(F.length(value), F.lit(0)) > 0, F.length(value) - F.length(F.replace(value, F.lit("\n"), F.lit(""))) + 1).otherwise(0)
+
+    joined = rows.join(marks, "_row", "left").withColumn("_cut", F.struct(lines(F.col("text")).alias("before"), text.alias("text")))
+    changed = {"text": F.col("_cut.text")}
+    before = F.col("_cut.before").cast("long")
+    return joined.select(
+        *[changed.get(c, F.col(c)).alias(c) for c in columns], before.alias("n_lines"), (before - lines(F.col("_cut.text"))).cast("long").alias("n_deleted")
+    )
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return dedup_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))

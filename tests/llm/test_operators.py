@@ -493,3 +493,70 @@ def test_line_dedup_of_odd_rows(stored, none):
     found = line_dedup.dedup_lines(stored)
     assert found.columns == [*stored.columns, "n_lines", "n_deleted"] and found.count() == 12
     assert line_dedup.dedup_lines(none).count() == 0
+
+
+def brute_passages(rows, least):
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0))
+    words = [WORD.findall(rows[i][1] or "") for i in order]
+    first, left = {}, []
+    for r, w in enumerate(words):
+        gone = set()
+        for a in range(len(w) - least + 1):
+            seen = first.setdefault(tuple(w[a : a + least]), (r, a))
+            if seen[0] != r or seen[1] + least <= a:
+                gone |= set(range(a, a + least))
+        left.append((str(rows[order[r]][0]), [x for i, x in enumerate(w) if i not in gone]))
+    return sorted(left)
+
+
+def test_passages_against_brute_force(spark, tmp_path):
+    rng = random.Random(9)
+    passage = "one two three four five six\nseven eight nine ten".split(" ")
+    rows = []
+    for i in range(80):
+        words = [rng.choice("abc") + rng.choice(["", "\n", "d"]) for _ in range(rng.randint(0, 25))]
+        at = rng.randint(0, len(words))
+        rows.append((i, " ".join([*words[:at], *(passage[rng.randint(0, 3) :] if i % 3 else []), *words[at:]])))
+    rows += [(80, None), (81, ""), (None, " ".join(passage)), (82, "x y z\n" * 9), (7, rows[7][1])]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t")).withColumn("n_lines", F.lit("x"))
+    for least in (2, 5, 9):
+        found = line_dedup.dedup_passages(df, min_words=least).collect()
+        assert sorted((str(r.doc_id), WORD.findall(r.text or "")) for r in found) == brute_passages(rows, least)
+        assert all((r.text is None) == (r.doc_id == 80) for r in found)
+
+
+def test_passage_inside_lines_is_cut(spark, tmp_path):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [
+        (1, f"before {passage} behind"),
+        (2, f"  other\nstart {passage.replace('p30', chr(10) + 'p30')} end\nlast \n"),
+        (3, passage),
+        (4, f"own\n{passage}\nrest"),
+        (5, f"{passage} tail\nx"),
+        (6, "kept  as it is "),
+    ]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    found = {r.doc_id: (r.text, r.n_lines, r.n_deleted) for r in line_dedup.dedup_passages(spark.read.parquet(str(tmp_path / "t"))).collect()}
+    assert found == {
+        1: (rows[0][1], 1, 0),
+        2: ("  other\nstart\nend\nlast \n", 5, 0),
+        3: ("", 1, 1),
+        4: ("own\nrest", 3, 1),
+        5: ("tail\nx", 2, 0),
+        6: ("kept  as it is ", 1, 0),
+    }
+
+
+def test_passages_of_odd_rows(stored, none):
+    found = line_dedup.dedup_passages(stored)
+    assert found.columns == [*stored.columns, "n_lines", "n_deleted"] and found.count() == 12
+    assert line_dedup.dedup_passages(none).count() == 0
+
+
+def test_few_seeds_name_all_windows(spark):
+    rng = random.Random(4)
+    df = spark.createDataFrame([([str(rng.random()) for _ in range(3000)],)], "words array<string>")
+    runs = df.select(F.inline(line_dedup._seeded(F.col("words"), 50))).collect()
+    assert [r["first"] for r in runs] == [sum(x["size"] for x in runs[:n]) for n in range(len(runs))]
+    assert sum(r["size"] for r in runs) == 3000 - 49 and len(runs) < 3000 / 15
