@@ -181,6 +181,24 @@ def test_just_similar_pairs_are_found_by_some_family(spark, tmp_path):
     assert sum(2 * pair + 1 in kept for pair in range(60)) <= 2
 
 
+def test_equal_prints_of_different_texts_are_no_copies(spark, tmp_path):
+    rng, seen, pair = random.Random(3), {}, None
+    base = [f"w{i}" for i in range(204)]
+    for n in range(6000):
+        words = list(base)
+        for at in rng.sample(range(10, 194), 3):
+            words[at] = f"x{n}"
+        text = " ".join(words)
+        own = set(simhash.distinct_shingles(text.encode(), 5).tolist())
+        other = seen.setdefault(int(simhash.prints_of([np.array(sorted(own), "<u8")], 1)[0]), (text, own))
+        if len(own & other[1]) < 0.79 * len(own | other[1]):
+            pair = other[0], text
+            break
+    spark.createDataFrame([(1, pair[0]), (2, pair[1]), (3, pair[1])], "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    kept = simhash.keep_one(spark.read.parquet(str(tmp_path / "t")))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
+
+
 def test_families_of_fingerprints():
     text = b"one two three four five six seven eight nine ten"
     own = simhash.fingerprints(text, 2, families=3)
