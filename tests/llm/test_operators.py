@@ -199,6 +199,38 @@ def test_equal_prints_of_different_texts_are_no_copies(spark, tmp_path):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
 
 
+def test_pairs_that_closer_prints_connect_are_tested_too(spark):
+    # x and y are similar, but z, which is similar to neither, lies between them in each family
+    rows = [(1, [0, 0]), (2, [0b1111, 0b1111]), (3, [0b0011, 0b0011]), (4, [0b0011, 1 << 40])]
+    points = spark.createDataFrame(rows, "_print long, _prints array<bigint>")
+    none = spark.createDataFrame([], "node long, root long")
+    pairs = {(r.a, r.b) for r in simhash.remaining(points, none, 4, 2).collect()}
+    assert pairs == {(1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4)}
+    some = spark.createDataFrame([(2, 2), (3, 2)], "node long, root long")
+    assert {(r.a, r.b) for r in simhash.remaining(points, some, 4, 2).collect()} == {(1, 2), (1, 3), (1, 4), (2, 4), (3, 4)}
+
+
+def test_template_group_loses_no_similar_pair(spark, tmp_path):
+    # 60 pairs of 0.84 among texts of one template with a similarity of 0.71
+    rng, rows = random.Random(5), []
+    base = [f"w{i}" for i in range(304)]
+    for n in range(600):
+        words = list(base)
+        places = rng.sample(range(4, 300, 6), 10)
+        for at in places[:5]:
+            words[at] = f"x{n}"
+        rows.append((n, " ".join(words)))
+        if n < 60:
+            for at in places[5:]:
+                words[at] = f"y{n}"
+            rows.append((1000 + n, " ".join(words)))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = {r.doc_id: r.component_id for r in simhash.near_groups(df, "doc_id", 5, 9, 0.8, 5).collect()}
+    assert sum(found[n] == found[1000 + n] for n in range(60)) >= 59
+    assert all(found[n] == n for n in range(60))
+
+
 def test_families_of_fingerprints():
     text = b"one two three four five six seven eight nine ten"
     own = simhash.fingerprints(text, 2, families=3)
