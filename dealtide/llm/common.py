@@ -178,3 +178,20 @@ def connected_components(links: DataFrame) -> DataFrame:
             break
         seen = now
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def dealt_join(
+    left: DataFrame, right: DataFrame, on: list[str], by: Column, count: str, rows: int | None, how: str = "inner", parts: int = 1000
+) -> DataFrame:
+    """``left`` joined with ``right``, which has each key once and in ``count`` how many rows of ``left`` have it.
+
+    A key with more than one in ``parts`` of all rows is dealt out by ``by``, a hash of the row, and its row of
+    ``right`` copied to each part. There are fewer than ``parts`` such keys, so their list is broadcast. ``rows``
+    is the number of rows of ``left``, counted if not given.
+    """
+    limit = max(1, (left.count() if rows is None else rows) // parts)
+    spread = (-F.floor(-F.col(count) / limit)).cast("int").alias("_parts")
+    hot = F.broadcast(fold(right.where(F.col(count) > limit).select(*on, spread), "hot-keys"))
+    dealt = left.join(hot, on, "left").withColumn("_part", F.coalesce(F.pmod(by, "_parts"), F.lit(0)).cast("int")).drop("_parts")
+    copied = right.join(hot, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return dealt.join(copied, [*on, "_part"], how).drop("_part")
