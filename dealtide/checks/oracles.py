@@ -26,6 +26,9 @@ SALES = """sales AS (
   JOIN supplier ON l_suppkey = s_suppkey
 )"""
 
+TRIPLE = """md5(length(lead_name) || ':' || lead_name || '|' || length(segment) || ':' || segment || '|'
+    || length(region) || ':' || region)"""
+
 TOTALS = """COUNT(*) AS total_opportunities,
     CAST(SUM(forecast) AS DECIMAL(28,2)) AS total_forecasted_revenue,
     CAST(SUM(weighted) AS DECIMAL(28,2)) AS total_weighted_revenue,
@@ -288,9 +291,7 @@ SELECT DISTINCT md5(salesperson) AS salesperson_id, salesperson AS salesperson_n
     "dim_lead": f"""WITH {SALES}
 SELECT DISTINCT md5(lead_name) AS lead_id, lead_name, segment, region FROM sales""",
     "dim_lead_by_triple": f"""WITH {SALES}
-SELECT DISTINCT md5(length(lead_name) || ':' || lead_name || '|' || length(segment) || ':' || segment || '|'
-    || length(region) || ':' || region) AS lead_id, lead_name, segment, region
-FROM sales""",
+SELECT DISTINCT {TRIPLE} AS lead_id, lead_name, segment, region FROM sales""",
     "dim_key_check": f"""WITH {SALES}
 SELECT md5(lead_name) AS lead_id, COUNT(DISTINCT CASE WHEN closed THEN 'done' ELSE segment END) AS occurrences
 FROM sales GROUP BY lead_name HAVING COUNT(DISTINCT CASE WHEN closed THEN 'done' ELSE segment END) > 1""",
@@ -309,6 +310,14 @@ SELECT row_number() OVER (ORDER BY sale_date, lead_name, salesperson, l_orderkey
   md5(stage) AS stage_id, target_close AS target_close_date, forecast AS forecasted_monthly_revenue,
   weighted AS weighted_revenue, closed AS closed_opportunity, active AS active_opportunity,
   latest AS latest_status_entry, days AS sales_cycle_days
+FROM sales""",
+    "lake_fact": f"""WITH {SALES}
+SELECT row_number() OVER (ORDER BY sale_date, lead_name, salesperson, stage, target_close, forecast, weighted,
+    closed, active, latest, segment, region) AS sales_id,
+  md5(CAST(sale_date AS VARCHAR)) AS date_id, {TRIPLE} AS lead_id, md5(salesperson) AS salesperson_id,
+  md5(stage) AS stage_id, target_close AS target_close_date, forecast AS forecasted_monthly_revenue,
+  weighted AS weighted_revenue, closed AS closed_opportunity, active AS active_opportunity,
+  latest AS latest_status_entry, days AS sales_cycle_days
 FROM sales""",
     "star_join": f"""WITH {SALES}
 SELECT sale_date AS date_value, CAST(year(sale_date) AS BIGINT) AS year, CAST(month(sale_date) AS BIGINT) AS month,
@@ -541,3 +550,4 @@ SELECT o_orderstatus, o_orderpriority, MIN(row_no) AS first_no, MAX(row_no) AS l
 FROM numbered GROUP BY o_orderstatus, o_orderpriority""",
 }
 ORACLES["fact_sales_stored"] = ORACLES["fact_sales"]
+ORACLES["lake_dim_lead"] = ORACLES["dim_lead_by_triple"]

@@ -12,7 +12,7 @@ from dealtide.operators import explore, increments, merge, quality, runlog
 from dealtide.operators.numbering import number_rows
 from dealtide.operators.transforms import apply_transforms
 from dealtide.plans import dashboard, marts, star
-from dealtide.plans.loads import REJECTED, Lake
+from dealtide.plans.loads import FACT, REJECTED, Lake
 from dealtide.plans.sales_view import LINE_KEY, normalized_from_sales, read_table, sales_from_orders
 from dealtide.plans.silver import to_silver
 from dealtide.scratch import materialize, scratch_path
@@ -534,9 +534,8 @@ def stream_available_now(spark, folder):
     return table.read()
 
 
-@query
-def lake_load(spark, folder):
-    """Two exports of the sales file through bronze and silver into a gold table."""
+def _lake_of_two_loads(spark: SparkSession, folder: str, build: Callable[[Lake], object]) -> Lake:
+    """Two exports of the sales file, the earlier sales and all, through bronze and silver; gold is built after each."""
     sales = _stored_sales(spark, folder)
     first, second = scratch_path(spark, "export-1"), scratch_path(spark, "export-2")
     write_csv(_raw_sales(sales.where(F.col("sale_date") <= F.lit(CUT).cast("date"))), first)
@@ -545,8 +544,26 @@ def lake_load(spark, folder):
     for path in (first, second):
         lake.ingest(catalog.SALES, path)
         lake.refine(catalog.SALES)
-        lake.build_mart(marts.TRENDS)
-    return lake.table(marts.TRENDS.name).read()
+        build(lake)
+    return lake
+
+
+@query
+def lake_load(spark, folder):
+    """Two exports of the sales file through bronze and silver into a gold table."""
+    return _lake_of_two_loads(spark, folder, lambda lake: lake.build_mart(marts.TRENDS)).table(marts.TRENDS.name).read()
+
+
+@query
+def lake_fact(spark, folder):
+    """The fact after two loads: the later sales are numbered by themselves and added."""
+    return _lake_of_two_loads(spark, folder, lambda lake: lake.build_fact()).table(FACT).read()
+
+
+@query
+def lake_dim_lead(spark, folder):
+    """The leads after two loads: those only the later sales have are added."""
+    return _lake_of_two_loads(spark, folder, lambda lake: lake.build_dimension("gold_dim_lead")).table("gold_dim_lead").read()
 
 
 @query

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,20 +13,22 @@ from dealtide.scratch import materialize
 # partition in the lower 33 bits and the partition number above them.
 _PLACE_BITS = 33
 
+# Copies of a row up to this many are numbered one by one where they lie; more are numbered as one row first.
+COPIES = 1 << 20
 
-ADDRESS = ("_file", "_row")
 
-
-def with_address(df: DataFrame) -> DataFrame | None:
-    """Rows with their place in the files they are read from; none if ``df`` is no plain scan."""
-    try:
-        return df.select(
-            "*",
-            F.xxhash64("_metadata.file_path").alias(ADDRESS[0]),
-            F.col("_metadata.row_index").alias(ADDRESS[1]),
-        )
-    except AnalysisException:
-        return None
+def _placed(ordered: DataFrame) -> DataFrame:
+    """The rows of a sorted plan, written once with the number of their partition and their place in it."""
+    slot = F.monotonically_increasing_id()
+    slotted = ordered.select("*", slot.alias("_slot"))
+    return materialize(
+        slotted.select(
+            *ordered.columns,
+            F.shiftright("_slot", _PLACE_BITS).alias("_part"),
+            F.col("_slot").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_place"),
+        ),
+        "ordered",
+    )
 
 
 def number_rows(
@@ -36,36 +37,48 @@ def number_rows(
     order_by: Sequence[str | Column],
     *,
     rows_unique: bool = False,
+    after: int = 0,
+    copies: int = COPIES,
 ) -> DataFrame:
-    """Same numbers as ``row_number() OVER (ORDER BY order_by)``, as a first column.
+    """The numbers ``row_number() OVER (ORDER BY order_by, all other columns)`` plus ``after``, as a first column.
 
-    Rows are range-partitioned and sorted by ``order_by``, written once together with
+    Rows are range-partitioned and sorted, written once together with
     their place in the partition, and shifted by the rows of all partitions before.
     Only that list of partition sizes, one row per partition, meets in one task and is
     broadcast.
 
-    Where ``order_by`` does not identify a row, equal rows would all fall in one range.
-    The address of a row in its files then breaks ties, so that a large group of copies
-    spreads over many ranges; an input that is not a plain scan is written first.
+    Unless rows are known to be unique, equal ones are counted first, which each task does for its share,
+    and are told out again behind the sort. A row with more than ``copies`` copies stays one row until
+    all have their numbers; its copies are then dealt out in blocks. There are few such rows, and they
+    are part of the broadcast list.
     """
     names = df.columns
     keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    if not rows_unique:
-        addressed = with_address(df)
-        df = addressed if addressed is not None else with_address(materialize(df, "unordered"))
-        keys = [*keys, *[F.col(c) for c in ADDRESS]]
-    slot = F.monotonically_increasing_id()
-    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*names, slot.alias("_slot"))
-    placed = materialize(
-        ordered.select(
-            *names,
-            F.shiftright("_slot", _PLACE_BITS).alias("_part"),
-            F.col("_slot").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_place"),
-        ),
-        "ordered",
-    )
-    sizes = placed.groupBy("_part").agg((F.max("_place") + 1).alias("_size"))
+    if rows_unique:
+        placed = _placed(df.repartitionByRange(*keys).sortWithinPartitions(*keys)).withColumn("_copies", F.lit(1).cast("bigint"))
+    else:
+        given = {c for c in order_by if isinstance(c, str)}
+        keys += [F.col(f"`{c}`") for c in names if c not in given]
+        counted = df.groupBy(*[F.col(f"`{c}`") for c in names]).agg(F.count(F.lit(1)).alias("_n"))
+        ordered = counted.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        few = F.col("_n") <= copies
+        # a generator keeps the order of the rows it tells out
+        told = ordered.select(*names, F.explode(F.when(few, F.array_repeat(F.lit(1).cast("bigint"), F.col("_n").cast("int"))).otherwise(F.array("_n"))).alias("_copies"))
+        placed = _placed(told)
+
+    many = F.col("_copies") > 1
+    held = F.collect_list(F.when(many, F.struct(F.col("_place").alias("place"), (F.col("_copies") - 1).alias("more"))))
+    sizes = placed.groupBy("_part").agg(F.sum("_copies").alias("_size"), held.alias("_held"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    numbered = placed.join(F.broadcast(starts), "_part")
-    return numbered.select((F.col("_start") + F.col("_place") + 1).alias(id_name), *names)
+    starts = sizes.select("_part", "_held", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    shifted = placed.join(F.broadcast(starts), "_part")
+    passed = F.aggregate(F.filter("_held", lambda h: h["place"] < F.col("_place")), F.lit(0).cast("bigint"), lambda a, h: a + h["more"])
+    number = F.col("_start") + F.col("_place") + 1 + F.when(F.size("_held") > 0, passed).otherwise(0) + after
+    numbered = shifted.select(number.alias(id_name), *names, "_copies")
+    single = numbered.where(~many).drop("_copies")
+    if rows_unique:
+        return single
+    blocks = numbered.where(many).withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(copies).cast("bigint"))))
+    block = F.sequence(F.col("_from"), F.least(F.col("_from") + copies, "_copies") - 1)
+    told = blocks.repartition(id_name, "_from").withColumn("_from", F.explode(block))
+    return single.unionByName(told.withColumn(id_name, F.col(id_name) + F.col("_from")).select(id_name, *names))

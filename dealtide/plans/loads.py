@@ -7,16 +7,18 @@ the tables and can simply be run again.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 from functools import partial as partial_of
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from dealtide.functions.columns import named, parse_date
 from dealtide.operators.increments import increment
+from dealtide.operators.merge import new_rows
 from dealtide.operators.quality import kept, quarantine, report
 from dealtide.operators.runlog import RunLog, increment_note
 from dealtide.operators.transforms import apply_transforms
@@ -29,6 +31,8 @@ from dealtide.sources.tables import Load, Mark, Table, greatest
 ORDER = "_increment"
 # Under this name a gold table remembers the silver version it was built from.
 BUILT_FROM = "silver_version"
+# Under this name the fact remembers that version, the last id and the last date.
+NUMBERED = "numbering"
 # A silver commit's load id is this and the bronze version that it consumed.
 CONSUMED = "bronze-"
 # Ending of the tables that hold the rows which silver's rules reject.
@@ -186,11 +190,65 @@ class Lake:
 
         return self._logged(name, SALES.silver_table, name, False, work)
 
-    def build_star(self) -> dict[str, Load]:
-        """The dimensions and the fact, in full."""
-        sales = self.table(SALES.silver_table)
-        built = {name: self._gold(name, dimension, sales) for name, dimension in DIMENSIONS.items()}
-        built[FACT] = self._gold(FACT, partial_of(star.fact_sales, key_by=LEAD_KEY), sales)
+    def _grown(self, table: Table, sales: Table, incremental: bool) -> tuple[DataFrame | None, bool]:
+        """The sales that silver got since a gold table was built, if it only grew; and whether there is nothing to do."""
+        seen = table.mark(BUILT_FROM) if incremental else None
+        if seen is None:
+            return None, False
+        return sales.appended_since(int(seen)), int(seen) == sales.version()
+
+    def build_dimension(self, name: str, incremental: bool = True) -> Load:
+        """A dimension: the members that only new sales have are added if silver only grew since, else in full."""
+        sales, table, build = self.table(SALES.silver_table), self.table(name), DIMENSIONS[name]
+        changed, current = self._grown(table, sales, incremental)
+        if current:
+            return Load(0, False)
+        if changed is None:
+            return self._gold(name, build, sales)
+        key, version = table.read().columns[0], str(sales.version())
+
+        def work() -> Load:
+            fresh = new_rows(table.read(), build(changed), [key])
+            return table.append(fresh, mark=Mark(BUILT_FROM, value=version), even_empty=True)
+
+        return self._logged(name, SALES.silver_table, name, True, work)
+
+    def build_fact(self, incremental: bool = True) -> Load:
+        """The fact: if silver only grew since, and only by later dates, the new sales are numbered by themselves and added.
+
+        Its commits say which silver version they take in, the last id and the last date. In all other cases it is built anew.
+        """
+        sales, table = self.table(SALES.silver_table), self.table(FACT)
+        stored = table.mark(NUMBERED) if incremental else None
+        state = json.loads(stored) if stored else {}
+        version = sales.version()
+        if state.get("silver") == version:
+            return Load(0, False)
+        changed = sales.appended_since(state["silver"]) if state else None
+
+        def dates(rows: DataFrame) -> Row:
+            return star.numbered_facts(rows).agg(F.min("sale_date").cast("string"), F.max("sale_date").cast("string")).first()
+
+        first, last = dates(changed) if changed is not None else (None, None)
+        grows = changed is not None and (first is None or state["until"] is None or first > state["until"])
+        if not grows:
+            last = dates(sales.read())[1]
+
+        def work() -> Load:
+            rows, after = (changed, state["last_id"]) if grows else (sales.read(), 0)
+            fact = star.fact_sales(rows, key_by=LEAD_KEY, after=after)
+            reached = F.coalesce(F.max("sales_id"), F.lit(after))
+            until = F.lit(last or state.get("until")).cast("string")
+            numbered = F.to_json(F.struct(F.lit(version).alias("silver"), reached.alias("last_id"), until.alias("until")), {"ignoreNullFields": "false"})
+            write = table.append if grows else table.replace
+            return write(fact, mark=Mark(NUMBERED, metric=numbered.alias("mark")), even_empty=True)
+
+        return self._logged(FACT, SALES.silver_table, FACT, grows, work)
+
+    def build_star(self, incremental: bool = True) -> dict[str, Load]:
+        """The dimensions and the fact."""
+        built = {name: self.build_dimension(name, incremental) for name in DIMENSIONS}
+        built[FACT] = self.build_fact(incremental)
         return built
 
     def build_mart(self, mart: marts.Mart, incremental: bool = True) -> Load:
@@ -229,7 +287,7 @@ class Lake:
             done[SOURCES[name].bronze_table] = self.ingest(SOURCES[name], path, incremental)
             done[SOURCES[name].silver_table] = self.refine(SOURCES[name], incremental)[0]
         if SALES.name in paths:
-            done |= self.build_star() | self.build_marts(incremental)
+            done |= self.build_star(incremental) | self.build_marts(incremental)
         if all(self.table(t).exists() for t in NORMALIZED_SILVER):
             done[NORMALIZED_SUMMARY] = self.build_normalized_summary()
         return done

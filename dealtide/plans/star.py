@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealtide.functions.columns import all_present, cycle_days, named, surrogate_key
-from dealtide.operators.numbering import ADDRESS, number_rows, with_address
+from dealtide.operators.numbering import number_rows
 
 
 def dim_salesperson(sales: DataFrame, key_kind: str = "md5") -> DataFrame:
@@ -59,6 +59,16 @@ def repeated_keys(dimension: DataFrame, key: str) -> DataFrame:
     return dimension.groupBy(named(key)).agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1")
 
 
+def unique_by(dimension: DataFrame, key: str, otherwise: str) -> DataFrame:
+    """``dimension``; a key that occurs more than once is an error of the query that reads it.
+
+    The check is a subquery of that query, so the plan around it stays as it is.
+    """
+    counted = dimension.groupBy(named(key)).agg(F.count(F.lit(1)).alias("occurrences"))
+    most = counted.agg(F.max("occurrences")).scalar()
+    return dimension.where(F.when(most > 1, F.raise_error(F.lit(otherwise)).cast("boolean")).otherwise(F.lit(True)))
+
+
 # Measures and flags of the fact, in table order.
 FACT_VALUES = (
     "forecasted_monthly_revenue",
@@ -89,30 +99,30 @@ def fact_rows(sales: DataFrame, key_by: str = "name", key_kind: str = "md5") ->
     return sales.where(all_present(FACT_REQUIRED)).select(_fact_columns(key_by, key_kind))
 
 
+def numbered_facts(sales: DataFrame) -> DataFrame:
+    """The sales that become facts."""
+    return sales.where(all_present(FACT_REQUIRED))
+
+
 def fact_sales(
     sales: DataFrame,
     tie_break: Sequence[str] = (),
     key_by: str = "name",
     key_kind: str = "md5",
+    after: int = 0,
 ) -> DataFrame:
-    """The fact with ``sales_id``, dense in the order of date, lead and salesperson.
+    """The fact with ``sales_id``, dense from ``after`` + 1 in the order of date, lead and salesperson.
 
     Rows equal in these are ordered by ``tie_break`` and then by all other columns, so
-    the ids depend on the content alone. The long keys are computed after the rows
-    have been placed and never take part in the shuffle. From a stored table the rows are
-    read directly; any other input is written first (see ``number_rows``).
+    the ids depend on the content alone; rows equal in all columns are interchangeable. So sales of
+    later dates than all before can be numbered by themselves, after the last id. The long keys are computed after the rows
+    have been placed and never take part in the shuffle.
     """
     place = [] if key_by == "name" else ["segment", "region"]
     order = dict.fromkeys(
         ["sale_date", "lead_name", "salesperson", *tie_break, "opportunity_stage", "target_close", *FACT_VALUES, *place]
     )
-    guarded = sales.where(all_present(FACT_REQUIRED))
-    addressed = with_address(guarded)
-    if addressed is None:
-        numbered = number_rows(guarded.select(*order), "sales_id", list(order))
-    else:
-        placed = [*order, *ADDRESS]
-        numbered = number_rows(addressed.select(*placed), "sales_id", placed, rows_unique=True)
+    numbered = number_rows(numbered_facts(sales).select(*order), "sales_id", list(order), after=after)
     return numbered.select("sales_id", *_fact_columns(key_by, key_kind))
 
 
@@ -127,10 +137,9 @@ def star_join(
 
     Pass the dimensions as stored tables: Spark then knows their sizes and broadcasts
     the small ones, which leaves the fact where it is. A lead key that repeats in its
-    dimension, as that by name does when a lead moves, would multiply facts and is an error.
+    dimension, as that by name does when a lead moves, would multiply facts; the query then fails.
     """
-    if not repeated_keys(leads, "lead_id").isEmpty():
-        raise ValueError("lead_id repeats in the leads; build fact and leads with key_by='triple'")
+    leads = unique_by(leads, "lead_id", "lead_id repeats in the leads; build fact and leads with key_by='triple'")
     return (
         fact.join(stages, "stage_id")
         .join(dates, "date_id")

@@ -178,13 +178,21 @@ def test_copies_spread_over_partitions(spark):
     assert hot[1] - hot[0] + 1 == hot[2] == 13334
 
 
+@pytest.mark.parametrize("copies", [1, 2, 7, 1000])
+def test_rows_with_many_copies_are_numbered_as_one_first(spark, copies):
+    df = spark.range(3000).select((F.col("id") % 50 % 17).alias("a"), F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 4).alias("b c"))
+    wanted = df.select(F.row_number().over(Window.orderBy("a", "`b c`")).cast("bigint").alias("no"), "a", "b c")
+    expected = bag(wanted.withColumn("no", F.col("no") + 10))
+    assert bag(number_rows(df.repartition(5), "no", ["a"], after=10, copies=copies)) == expected
+
+
 def test_no_single_task_for_all_rows(spark):
     df = spark.range(100).withColumn("v", F.col("id"))
     numbered = number_rows(df, "no", ["v"], rows_unique=True)
     plan = numbered._jdf.queryExecution().executedPlan().toString()
     single = plan.index("SinglePartition")
     # the one exchange to a single task sits above the per-partition sizes
-    assert plan.count("SinglePartition") == 1 and "max(_place" in plan[single:]
+    assert plan.count("SinglePartition") == 1 and "Aggregate(keys=[_part" in plan[single:]
 
 
 def test_shared_folder_is_required_on_a_cluster():
