@@ -40,6 +40,12 @@ REGION_MART = f"""region_mart AS (
   FROM sales GROUP BY ALL
 )"""
 
+SUMMARY_MART = f"""summary_mart AS (
+  SELECT salesperson AS salesperson_name, region, segment, {TOTALS},
+    COUNT(*) FILTER (active) AS active_opportunities, AVG(days) AS avg_sales_cycle_days
+  FROM sales GROUP BY ALL
+)"""
+
 PERFORMANCE_MART = """performance_mart AS (
   SELECT salesperson AS salesperson_name, region, segment, COUNT(*) AS total_leads,
     COUNT(*) FILTER (closed AND stage = 'Closed Won') AS won_deals,
@@ -337,16 +343,13 @@ FROM sales""",
   SELECT {SALES_NAMED} FROM sales WHERE region = 'EUROPE' AND stage = 'Lead'
 )
 SELECT * REPLACE (CAST(NULL AS VARCHAR) AS lead_name), 'not_null(lead_name)' AS failed_rules FROM named""",
-    "sales_summary": _numbered(
-        f"""mart AS (
-  SELECT salesperson AS salesperson_name, region, segment, {TOTALS},
-    COUNT(*) FILTER (active) AS active_opportunities, AVG(days) AS avg_sales_cycle_days
-  FROM sales GROUP BY ALL
-)""",
-        "mart",
-        "summary_id",
-        "salesperson_name, region, segment",
-    ),
+    "sales_summary": _numbered(SUMMARY_MART, "summary_mart", "summary_id", "salesperson_name, region, segment"),
+    "mart_state_summary": f"WITH {SALES}, {SUMMARY_MART} SELECT * FROM summary_mart",
+    "mart_state_regions": f"WITH {SALES}, {REGION_MART} SELECT * FROM region_mart",
+    "mart_state_performance": f"WITH {SALES}, {PERFORMANCE_MART} SELECT * FROM performance_mart",
+    "mart_state_funnel": f"WITH {SALES}, {FUNNEL_MART} SELECT * FROM funnel_mart",
+    "mart_state_trends": f"WITH {SALES}, {TRENDS_MART} SELECT * FROM trends_mart",
+    "mart_state_leads": f"WITH {SALES}, {SCORING_MART} SELECT * FROM scoring_mart",
     "region_summary": _numbered(REGION_MART, "region_mart", "region_summary_id", "region, segment, year, month"),
     "performance": _numbered(
         PERFORMANCE_MART, "performance_mart", "performance_id", "salesperson_name, region, segment"
@@ -551,3 +554,4 @@ FROM numbered GROUP BY o_orderstatus, o_orderpriority""",
 }
 ORACLES["fact_sales_stored"] = ORACLES["fact_sales"]
 ORACLES["lake_dim_lead"] = ORACLES["dim_lead_by_triple"]
+ORACLES["lake_performance"] = ORACLES["performance"]

@@ -73,11 +73,6 @@ def money_total(value: Column) -> Column:
     return F.sum(value).cast(MONEY_SUM)
 
 
-def money_mean(value: Column) -> Column:
-    """Mean from the exact total, so the result does not depend on row order."""
-    return F.sum(value).cast("double") / F.count(value)
-
-
 def cycle_days() -> Column:
     return F.datediff("target_close", "sale_date")
 

@@ -55,6 +55,11 @@ def rows_of_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> Dat
     return _join_groups(df, groups, keys, "left_semi")
 
 
+def rows_outside_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that belong to none of the listed groups."""
+    return _join_groups(df, groups, keys, "left_anti")
+
+
 def replace_groups(current: DataFrame, rebuilt: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Aggregate table in which the listed groups give way to ``rebuilt``."""
-    return _join_groups(current, groups, keys, "left_anti").unionByName(rebuilt)
+    return rows_outside_groups(current, groups, keys).unionByName(rebuilt)

@@ -33,6 +33,10 @@ ORDER = "_increment"
 BUILT_FROM = "silver_version"
 # Under this name the fact remembers that version, the last id and the last date.
 NUMBERED = "numbering"
+# Beside an aggregate table lies its state, under this ending; under this name it remembers what it takes in.
+STATE, TAKEN_IN = "_state", "taken_in"
+# The load id of pairs behind distinct counts is this and the silver version they come from.
+CONSUMED_SILVER = "silver-"
 # A silver commit's load id is this and the bronze version that it consumed.
 CONSUMED = "bronze-"
 # Ending of the tables that hold the rows which silver's rules reject.
@@ -251,22 +255,52 @@ class Lake:
         built[FACT] = self.build_fact(incremental)
         return built
 
+    def _keep_pairs(self, mart: marts.Mart, changed: DataFrame | None, version: int) -> None:
+        """The pairs behind a mart's distinct counts, those of new sales added; all of them anew without ``changed``."""
+        for column in mart.distinct:
+            table = self.table(f"{mart.name}_{column}")
+            if changed is None:
+                found = mart.pairs(self.table(SALES.silver_table).read(), column)
+                table.replace(found, f"{CONSUMED_SILVER}{version}-{uuid4().hex}")
+            else:
+                fresh = mart.new_pairs(table.read(), changed, column)
+                table.append(fresh, f"{CONSUMED_SILVER}{version}", even_empty=True)
+
     def build_mart(self, mart: marts.Mart, incremental: bool = True) -> Load:
-        """An aggregate table: the touched groups if silver only grew since, else in full."""
-        sales, table = self.table(SALES.silver_table), self.table(mart.name)
-        seen = table.mark(BUILT_FROM) if incremental else None
-        if seen is not None and int(seen) == sales.version():
+        """An aggregate table, from its stored state.
+
+        If silver only grew since, the state of the new sales is merged with the stored one, and the sales before are not
+        read; else all is built anew. Exact distinct counts have their pairs stored beside: those that
+        an increment adds are counted. The state says which versions of silver and of the pairs it takes in, so
+        a run repeated after a failure goes on where that one stopped.
+        """
+        sales, table, states = self.table(SALES.silver_table), self.table(mart.name), self.table(mart.name + STATE)
+        stored = states.mark(TAKEN_IN) if incremental else None
+        taken = json.loads(stored) if stored else {}
+        version = sales.version()
+        if taken.get("silver") == version and table.mark(BUILT_FROM) == str(version):
             return Load(0, False)
-        changed = sales.appended_since(int(seen)) if seen is not None else None
-        if changed is None:
-            return self._gold(mart.name, lambda s: mart.with_ids(mart.build(s)), sales)
-        current, version = table.read().drop(mart.id_name), str(sales.version())
+        changed = sales.appended_since(taken["silver"]) if taken else None
+        if any(self.table(f"{mart.name}_{c}").replaced_since(v) for c, v in taken.get("pairs", {}).items()):
+            changed = None  # a build of all pairs was interrupted
 
-        def work() -> Load:
-            fresh = mart.refresh(current, sales.read(), changed)
-            return table.replace(mart.with_ids(fresh), mark=Mark(BUILT_FROM, value=version))
+        def pairs(column: str) -> DataFrame:
+            """All pairs, or those that the state has not taken in."""
+            kept = self.table(f"{mart.name}_{column}")
+            return kept.read() if changed is None else kept.appended_since(taken["pairs"][column])
 
-        return self._logged(mart.name, SALES.silver_table, mart.name, True, work)
+        def work() -> Load:
+            if taken.get("silver") != version:
+                self._keep_pairs(mart, changed, version)
+                state = mart.partial(sales.read() if changed is None else changed)
+                state = mart.with_counts(state, {c: pairs(c) for c in mart.distinct})
+                if changed is not None:
+                    state = mart.merged(states.read(), state)
+                reached = {"silver": version, "pairs": {c: self.table(f"{mart.name}_{c}").version() for c in mart.distinct}}
+                states.replace(state, mark=Mark(TAKEN_IN, value=json.dumps(reached)))
+            return table.replace(mart.with_ids(mart.finished(states.read())), mark=Mark(BUILT_FROM, value=str(version)))
+
+        return self._logged(mart.name, SALES.silver_table, mart.name, changed is not None, work)
 
     def build_marts(self, incremental: bool = True) -> dict[str, Load]:
         return {m.name: self.build_mart(m, incremental) for m in marts.SALES_MARTS}

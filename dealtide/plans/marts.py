@@ -1,10 +1,15 @@
-"""Aggregate tables over the cleaned sales, described once and built three ways:
-in full, with dense ids, or refreshed for the groups that an increment touches."""
+"""Aggregate tables over the cleaned sales, described once and built several ways.
+
+Each table is described by its state, aggregates that can be merged, and by the columns made of it. So it is built in
+full, or from a stored state and the state of an increment without the sales before, or refreshed for the
+groups that changed rows belong to, which also covers replaced rows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,18 +20,32 @@ from dealtide.functions.columns import (
     cycle_days,
     is_lost,
     is_won,
-    money_mean,
     money_total,
     percent,
     row_count,
     won_revenue,
 )
-from dealtide.operators.increments import replace_groups, rows_of_groups
+from dealtide.operators.increments import replace_groups, rows_of_groups, rows_outside_groups
 from dealtide.operators.numbering import number_rows
 from dealtide.scratch import materialize
 
 FORECAST = "forecasted_monthly_revenue"
 WEIGHTED = "weighted_revenue"
+# Type of sums of squares of money.
+SQUARES = "decimal(38,4)"
+
+
+@dataclass(frozen=True)
+class Part:
+    """One aggregate of a state: over sales, and over states of the same groups."""
+
+    of_sales: Column
+    merge: Callable[[Column], Column]
+
+
+def _added(of_sales: Column) -> Part:
+    """A sum or a count. Merged in its own type, which holds the sums of whole tables."""
+    return Part(of_sales, F.sum)
 
 
 @dataclass(frozen=True)
@@ -35,7 +54,9 @@ class Mart:
     id_name: str
     groups: Mapping[str, str]  # output column -> SQL expression over the sales
     required: Sequence[str]  # rows with a null in one of these are left out
-    measures: Callable[[], list[Column]]
+    state: Callable[[], dict[str, Part]]
+    measures: Callable[[], list[Column]]  # of the state
+    distinct: Mapping[str, str] = field(default_factory=dict)  # state column -> column whose values it counts
     monthly: bool = False  # grouped by year and month of the sale
 
     def _guarded(self, sales: DataFrame) -> DataFrame:
@@ -44,9 +65,48 @@ class Mart:
     def _group_columns(self) -> list[Column]:
         return [F.expr(e).alias(name) for name, e in self.groups.items()]
 
+    def partial(self, sales: DataFrame) -> DataFrame:
+        """The state of some sales, without distinct counts: one row per group. Tasks pre-aggregate before the only shuffle."""
+        parts = [part.of_sales.alias(name) for name, part in self.state().items()]
+        return self._guarded(sales).groupBy(*self._group_columns()).agg(*parts)
+
+    def pairs(self, sales: DataFrame, column: str) -> DataFrame:
+        """The distinct values of a column in each group."""
+        value = F.col(self.distinct[column]).alias("value")
+        return self._guarded(sales).select(*self._group_columns(), value).where("value IS NOT NULL").distinct()
+
+    def new_pairs(self, kept: DataFrame, sales: DataFrame, column: str) -> DataFrame:
+        """The pairs of some sales that are not among those kept; of these only the years in question are looked at."""
+        found = materialize(self.pairs(sales, column), "pairs")
+        if self.monthly:
+            first, last = found.agg(F.min("year"), F.max("year")).first()
+            kept = kept if first is None else kept.where(F.col("year").between(first, last))
+        return rows_outside_groups(found, kept, [*self.groups, "value"])
+
+    def with_counts(self, partial: DataFrame, pairs: Mapping[str, DataFrame]) -> DataFrame:
+        """A state with the numbers of its pairs; groups without pairs count none."""
+        for column, found in pairs.items():
+            counts = found.groupBy(*[F.col(g).alias(f"_{g}") for g in self.groups]).agg(F.count(F.lit(1)).alias(column))
+            same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in self.groups]
+            partial = partial.join(counts, reduce(lambda a, b: a & b, same), "left").drop(*[f"_{g}" for g in self.groups])
+            partial = partial.withColumn(column, F.coalesce(column, F.lit(0).cast("bigint")))
+        return partial
+
+    def merged(self, state: DataFrame, more: DataFrame) -> DataFrame:
+        """The state of the sales of both states, if no pair is counted in both."""
+        shape = {f.name: f.dataType for f in state.schema}
+        merges = [part.merge(F.col(name)).cast(shape[name]).alias(name) for name, part in self.state().items()]
+        counts = [F.sum(c).alias(c) for c in self.distinct]
+        return state.unionByName(more).groupBy(*self.groups).agg(*merges, *counts)
+
+    def finished(self, state: DataFrame) -> DataFrame:
+        return state.select(*self.groups, *self.measures())
+
     def build(self, sales: DataFrame) -> DataFrame:
         """One row per group. Lazy; tasks pre-aggregate before the only shuffle."""
-        return self._guarded(sales).groupBy(*self._group_columns()).agg(*self.measures())
+        parts = [part.of_sales.alias(name) for name, part in self.state().items()]
+        parts += [F.count_distinct(value).alias(c) for c, value in self.distinct.items()]
+        return self.finished(self._guarded(sales).groupBy(*self._group_columns()).agg(*parts))
 
     def with_ids(self, built: DataFrame) -> DataFrame:
         """The built table with its row number in group order as first column."""
@@ -84,93 +144,175 @@ class Mart:
         return replace_groups(current, self.build(affected), touched, keys)
 
 
-def _count_where(condition: Column, name: str) -> Column:
-    return F.count_if(condition).alias(name)
+def _count_where(condition: Column) -> Part:
+    return _added(F.count_if(condition))
+
+
+def _totals_state() -> dict[str, Part]:
+    return {
+        "n": _added(row_count()),
+        "forecast": _added(money_total(F.col(FORECAST))),
+        "weighted": _added(money_total(F.col(WEIGHTED))),
+        "closed": _count_where(F.col("closed_opportunity")),
+    }
 
 
 def _totals() -> list[Column]:
     return [
-        row_count().alias("total_opportunities"),
-        money_total(F.col(FORECAST)).alias("total_forecasted_revenue"),
-        money_total(F.col(WEIGHTED)).alias("total_weighted_revenue"),
-        _count_where(F.col("closed_opportunity"), "closed_opportunities"),
+        F.col("n").alias("total_opportunities"),
+        F.col("forecast").alias("total_forecasted_revenue"),
+        F.col("weighted").alias("total_weighted_revenue"),
+        F.col("closed").alias("closed_opportunities"),
     ]
 
 
+def _days_state() -> dict[str, Part]:
+    return {"days": _added(F.sum(cycle_days())), "dated": _added(F.count(cycle_days()))}
+
+
+def _mean(total: str, count: str) -> Column:
+    return F.col(total).cast("double") / F.nullif(F.col(count), F.lit(0))
+
+
+def _summary_state() -> dict[str, Part]:
+    return {**_totals_state(), "active": _count_where(F.col("active_opportunity")), **_days_state()}
+
+
 def _summary() -> list[Column]:
-    return [
-        *_totals(),
-        _count_where(F.col("active_opportunity"), "active_opportunities"),
-        F.avg(cycle_days()).alias("avg_sales_cycle_days"),
-    ]
+    return [*_totals(), F.col("active").alias("active_opportunities"), _mean("days", "dated").alias("avg_sales_cycle_days")]
+
+
+def _deals_state() -> dict[str, Part]:
+    return {
+        "n": _added(row_count()),
+        "won": _count_where(is_won()),
+        "lost": _count_where(is_lost()),
+        "forecast": _added(money_total(F.col(FORECAST))),
+        "won_forecast": _added(won_revenue()),
+        "priced": _added(F.count(FORECAST)),
+    }
+
+
+def _performance_state() -> dict[str, Part]:
+    return {
+        **_deals_state(),
+        "closed": _count_where(F.col("closed_opportunity")),
+        "squares": _added(F.sum(F.col(FORECAST) * F.col(FORECAST)).cast(SQUARES)),
+        **_days_state(),
+    }
+
+
+def deviation(total: str, squares: str, count: str) -> Column:
+    """Sample deviation from exact sums.
+
+    The difference of the products is exact too unless they have over 34 digits before the point; only
+    then it is one of doubles.
+    """
+    n, x, xx = F.col(count).cast("decimal(20,0)"), F.col(total), F.col(squares)
+    exact = F.try_subtract(F.try_multiply(n, xx), F.try_multiply(x, x)).cast("double")
+    rough = n.cast("double") * xx.cast("double") - x.cast("double") * x.cast("double")
+    spread = F.greatest(F.coalesce(exact, rough), F.lit(0.0))
+    return F.sqrt(spread / F.nullif(n.cast("double") * (n.cast("double") - 1), F.lit(0.0)))
 
 
 def _performance() -> list[Column]:
     return [
-        row_count().alias("total_leads"),
-        _count_where(is_won(), "won_deals"),
-        _count_where(is_lost(), "lost_deals"),
-        percent(F.count_if(is_won()), F.count_if(F.col("closed_opportunity"))).alias("win_rate_percent"),
-        money_total(F.col(FORECAST)).alias("total_pipeline_value"),
-        won_revenue().alias("actual_revenue"),
-        F.avg(cycle_days()).alias("avg_sales_cycle_days"),
-        money_mean(F.col(FORECAST)).alias("avg_deal_size"),
-        F.stddev_samp(F.col(FORECAST).cast("double")).alias("deal_size_variance"),
+        F.col("n").alias("total_leads"),
+        F.col("won").alias("won_deals"),
+        F.col("lost").alias("lost_deals"),
+        percent(F.col("won"), F.col("closed")).alias("win_rate_percent"),
+        F.col("forecast").alias("total_pipeline_value"),
+        F.col("won_forecast").alias("actual_revenue"),
+        _mean("days", "dated").alias("avg_sales_cycle_days"),
+        _mean("forecast", "priced").alias("avg_deal_size"),
+        deviation("forecast", "squares", "priced").alias("deal_size_variance"),
     ]
 
 
+def _funnel_state() -> dict[str, Part]:
+    return {
+        "n": _added(row_count()),
+        "forecast": _added(money_total(F.col(FORECAST))),
+        "weighted": _added(money_total(F.col(WEIGHTED))),
+        "priced": _added(F.count(FORECAST)),
+        **_days_state(),
+        "active": _count_where(F.col("active_opportunity")),
+        "latest": _count_where(F.col("latest_status_entry")),
+    }
+
+
 def _funnel() -> list[Column]:
     return [
-        row_count().alias("opportunity_count"),
-        money_total(F.col(FORECAST)).alias("stage_pipeline_value"),
-        money_total(F.col(WEIGHTED)).alias("stage_weighted_value"),
-        money_mean(F.col(FORECAST)).alias("avg_opportunity_value"),
-        F.avg(cycle_days()).alias("avg_days_to_close"),
-        _count_where(F.col("active_opportunity"), "active_opportunities"),
-        _count_where(F.col("latest_status_entry"), "recent_activity_count"),
+        F.col("n").alias("opportunity_count"),
+        F.col("forecast").alias("stage_pipeline_value"),
+        F.col("weighted").alias("stage_weighted_value"),
+        _mean("forecast", "priced").alias("avg_opportunity_value"),
+        _mean("days", "dated").alias("avg_days_to_close"),
+        F.col("active").alias("active_opportunities"),
+        F.col("latest").alias("recent_activity_count"),
     ]
 
 
-def _trends() -> list[Column]:
+def _deals() -> list[Column]:
     return [
-        row_count().alias("new_opportunities"),
-        _count_where(is_won(), "deals_won"),
-        _count_where(is_lost(), "deals_lost"),
-        money_total(F.col(FORECAST)).alias("monthly_pipeline_added"),
-        won_revenue().alias("monthly_revenue_won"),
-        money_mean(F.col(FORECAST)).alias("avg_monthly_deal_size"),
-        F.count_distinct("salesperson").alias("active_salespeople"),
-        F.count_distinct("lead_name").alias("unique_leads"),
+        F.col("n").alias("new_opportunities"),
+        F.col("won").alias("deals_won"),
+        F.col("lost").alias("deals_lost"),
+        F.col("forecast").alias("monthly_pipeline_added"),
+        F.col("won_forecast").alias("monthly_revenue_won"),
+        _mean("forecast", "priced").alias("avg_monthly_deal_size"),
     ]
 
 
+# Distinct counts of the monthly trends and what they count.
+_ACTIVE = {"active_salespeople": "salesperson", "unique_leads": "lead_name"}
+
+
+def _trends() -> list[Column]:
+    return [*_deals(), *[F.col(c) for c in _ACTIVE]]
+
+
+def _sketched_state() -> dict[str, Part]:
+    """Sketches instead of exact distinct counts; they merge, and need no values kept."""
+    sketches = {c: Part(F.hll_sketch_agg(value), F.hll_union_agg) for c, value in _ACTIVE.items()}
+    return {**_deals_state(), **sketches}
+
+
 def _approximate_trends() -> list[Column]:
-    return [
-        *_trends()[:-2],
-        F.approx_count_distinct("salesperson").alias("active_salespeople"),
-        F.approx_count_distinct("lead_name").alias("unique_leads"),
-    ]
+    return [*_deals(), *[F.hll_sketch_estimate(c).alias(c) for c in _ACTIVE]]
 
 
-def _scoring(any_won: bool = False) -> list[Column]:
+def _scoring_state() -> dict[str, Part]:
     stage = F.col("opportunity_stage")
-    score = (
-        F.when(F.count_if(stage.isin("Qualified", "Contracting")) > 0, "High")
-        .when(F.count_if(stage == "Prospect") > 0, "Medium")
-        .otherwise("Low")
-    )
-    won = F.coalesce(F.bool_or(stage == WON), F.lit(False))
+    # the stage as flags, since text has no hash aggregation
+    return {
+        "n": _added(row_count()),
+        "most": Part(F.max(FORECAST), F.max),
+        "first": Part(F.min("sale_date"), F.min),
+        "last": Part(F.max("sale_date"), F.max),
+        "hot": _count_where(stage.isin("Qualified", "Contracting")),
+        "warm": _count_where(stage == "Prospect"),
+        "closed": Part(F.bool_or("closed_opportunity"), F.bool_or),
+        "active": Part(F.bool_or("active_opportunity"), F.bool_or),
+        "won": Part(F.bool_or(stage == WON), F.bool_or),
+        "beyond": Part(F.bool_or(stage > WON), F.bool_or),
+    }
+
+
+def _scoring(any_won: bool = False) -> list[Column]:
+    score = F.when(F.col("hot") > 0, "High").when(F.col("warm") > 0, "Medium").otherwise("Low")
+    won = F.coalesce("won", F.lit(False))
     if not any_won:
-        # the greatest stage is the won one; as flags, since text has no hash aggregation
-        won = won & ~F.coalesce(F.bool_or(stage > WON), F.lit(False))
-    outcome = F.when(F.bool_or("closed_opportunity"), F.when(won, "Won").otherwise("Lost")).otherwise("Open")
+        # the greatest stage is the won one
+        won = won & ~F.coalesce("beyond", F.lit(False))
+    outcome = F.when(F.col("closed"), F.when(won, "Won").otherwise("Lost")).otherwise("Open")
     return [
-        F.max(FORECAST).alias("max_opportunity_value"),
-        row_count().alias("total_interactions"),
-        F.max("sale_date").alias("last_interaction_date"),
-        F.datediff(F.max("sale_date"), F.min("sale_date")).cast("bigint").alias("engagement_duration_days"),
+        F.col("most").alias("max_opportunity_value"),
+        F.col("n").alias("total_interactions"),
+        F.col("last").alias("last_interaction_date"),
+        F.datediff("last", "first").cast("bigint").alias("engagement_duration_days"),
         score.alias("lead_score"),
-        F.when(F.bool_or("active_opportunity"), "Active").otherwise("Inactive").alias("status"),
+        F.when(F.col("active"), "Active").otherwise("Inactive").alias("status"),
         outcome.alias("final_outcome"),
     ]
 
@@ -184,6 +326,7 @@ SALES_SUMMARY = Mart(
     "summary_id",
     {"salesperson_name": "salesperson", **_PLACE},
     ("salesperson", "region", "segment"),
+    _summary_state,
     _summary,
 )
 REGION_SUMMARY = Mart(
@@ -191,6 +334,7 @@ REGION_SUMMARY = Mart(
     "region_summary_id",
     {**_PLACE, **_MONTH},
     ("region", "segment", "sale_date"),
+    _totals_state,
     _totals,
     monthly=True,
 )
@@ -199,6 +343,7 @@ PERFORMANCE = Mart(
     "performance_id",
     {"salesperson_name": "salesperson", **_PLACE},
     ("salesperson", "region", "segment"),
+    _performance_state,
     _performance,
 )
 FUNNEL = Mart(
@@ -206,6 +351,7 @@ FUNNEL = Mart(
     "funnel_id",
     {"stage_name": "opportunity_stage", **_PLACE},
     ("opportunity_stage", "region", "segment"),
+    _funnel_state,
     _funnel,
 )
 TRENDS = Mart(
@@ -213,7 +359,9 @@ TRENDS = Mart(
     "trends_id",
     {**_MONTH, "region": "region"},
     ("sale_date", "region"),
+    _deals_state,
     _trends,
+    distinct=_ACTIVE,
     monthly=True,
 )
 # The same with sketches instead of exact distinct counts, for tables where the
@@ -223,6 +371,7 @@ APPROXIMATE_TRENDS = Mart(
     "trends_id",
     TRENDS.groups,
     TRENDS.required,
+    _sketched_state,
     _approximate_trends,
     monthly=True,
 )
@@ -231,6 +380,7 @@ LEAD_SCORING = Mart(
     "scoring_id",
     {"lead_name": "lead_name", "segment": "segment", "region": "region", "assigned_salesperson": "salesperson"},
     ("lead_name",),
+    _scoring_state,
     _scoring,
 )
 # The outcome of a lead is by default decided by its alphabetically greatest stage;
@@ -240,6 +390,7 @@ LEAD_SCORING_ANY_WON = Mart(
     "scoring_id",
     LEAD_SCORING.groups,
     LEAD_SCORING.required,
+    _scoring_state,
     lambda: _scoring(any_won=True),
 )
 

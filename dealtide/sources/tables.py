@@ -113,6 +113,10 @@ class Table:
             return None
         return self._scan(later)
 
+    def replaced_since(self, version: int) -> bool:
+        found = self._of_log((F.col("version") > version) & (F.col("mode") == "replace"), F.count("*"))
+        return bool(found and found[0])
+
     def _done(self, load_id: str | None) -> bool:
         found = self._of_log(F.col("load_id") == load_id, F.count("*")) if load_id is not None else None
         return bool(found and found[0])

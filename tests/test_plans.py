@@ -13,12 +13,13 @@ from pyspark.sql import types as T
 
 from dealtide.operators import explore, runlog
 from dealtide.plans import dashboard, marts, star
-from dealtide.plans.loads import DIMENSIONS, REJECTED, Lake
+from dealtide.plans.loads import BUILT_FROM, DIMENSIONS, REJECTED, Lake
 from dealtide.scratch import materialize
 from dealtide.session import shuffle_partitions
 from dealtide.sinks import jdbc
 from dealtide.sinks.files import export_reports
 from dealtide.sources import catalog
+from dealtide.sources.tables import Mark
 
 SALES_SCHEMA = (
     "sale_date date, salesperson string, lead_name string, segment string, region string, target_close date, "
@@ -192,6 +193,64 @@ def test_lake_numbers_only_the_increment(spark, tmp_path):
     assert lake.build_fact().rows == 3 and fact() == whole()
 
 
+def test_states_merge_to_the_full_build(spark, sales):
+    parts = [sales.where("sale_date < '2017-02-01' OR sale_date IS NULL"), sales.where("sale_date >= '2017-02-01'"), sales.where("false")]
+    for mart in (*marts.SALES_MARTS, marts.APPROXIMATE_TRENDS, marts.LEAD_SCORING_ANY_WON):
+        state, pairs = None, dict.fromkeys(mart.distinct)
+        for part in parts:
+            fresh = {c: mart.pairs(part, c) if old is None else mart.new_pairs(old, part, c) for c, old in pairs.items()}
+            pairs = {c: materialize(new if pairs[c] is None else pairs[c].unionByName(new), "pairs") for c, new in fresh.items()}
+            more = mart.with_counts(mart.partial(part), fresh)
+            state = materialize(more if state is None else mart.merged(state, more), "state")
+        assert bag(mart.finished(state)) == bag(mart.build(sales))
+
+
+def test_deviation_is_exact(spark):
+    def of(values):
+        rows = spark.createDataFrame([(Decimal(v),) for v in values], "v decimal(18,2)")
+        sums = rows.agg(F.sum("v").cast("decimal(28,2)").alias("x"), F.sum(F.col("v") * F.col("v")).cast(marts.SQUARES).alias("xx"), F.count("v").alias("n"))
+        return sums.select(marts.deviation("x", "xx", "n")).first()[0]
+
+    assert of(["5.10"] * 7) == 0.0 and of(["3"]) is None and of([]) is None
+    assert of(["1000000000.01", "1000000000.02"]) == pytest.approx(0.01 / 2**0.5, rel=1e-12)
+    assert of(["9999999999999999.99", "1"] * 50) == pytest.approx(5025189076296060.0, rel=1e-9)
+
+
+def test_marts_read_only_the_increment(spark, tmp_path):
+    lake, source = Lake(spark, str(tmp_path / "lake")), catalog.SALES
+    file = tmp_path / "sales.csv"
+    days = ["9/8/2016", "9/9/2016", "10/1/2016", "10/1/2016", "11/2/2016"]
+    lines = [line(d, f"P{i % 3}", f"L{i % 2}", s, 10 + i) for i, (d, s) in enumerate(zip(days, ["Lead", "Closed Won", "Closed Lost", "Prospect", "Lead"], strict=True))]
+    chosen = (marts.PERFORMANCE, marts.TRENDS)
+    for n in (2, 4, 5):
+        file.write_text("\n".join([SALES_HEADER, *lines[:n]]) + "\n")
+        lake.ingest(source, str(file))
+        lake.refine(source)
+        old = sorted((tmp_path / "lake" / "silver_sales").glob("v*"), key=lambda f: f.stat().st_mtime)[:-1]
+        for folder in old:
+            folder.rename(folder.with_name(folder.name + "-away"))
+        try:
+            assert all(lake.build_mart(m).committed for m in chosen)
+        finally:
+            for folder in old:
+                folder.with_name(folder.name + "-away").rename(folder)
+        for mart in chosen:
+            built = mart.with_ids(mart.build(lake.table(source.silver_table).read()))
+            assert bag(lake.table(mart.name).read()) == bag(built)
+    assert not lake.build_mart(marts.TRENDS).committed
+
+    # a run that stopped between state and table, and one that stopped in a build of all pairs
+    trends = lake.table(marts.TRENDS.name)
+    wanted = bag(trends.read())
+    trends.replace(trends.read().where("false"), mark=Mark(BUILT_FROM, value="0"))
+    assert lake.build_mart(marts.TRENDS).committed and bag(trends.read()) == wanted
+    lake._keep_pairs(marts.TRENDS, None, 99)
+    silver = lake.table(source.silver_table)
+    silver.append(silver.read().limit(1).withColumn("salesperson", F.lit("new")), load_id="by hand")
+    lake.build_mart(marts.TRENDS)
+    assert bag(trends.read()) == bag(marts.TRENDS.with_ids(marts.TRENDS.build(silver.read())))
+
+
 def test_lead_keys(spark):
     moved = [sale(date(2017, 1, 1), "p", "Acme", "Lead", "1"), sale(date(2017, 1, 2), "p", "Acme", "Lead", "1", "S2")]
     df = spark.createDataFrame(moved, SALES_SCHEMA)
