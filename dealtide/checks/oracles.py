@@ -339,6 +339,35 @@ SELECT sale_date AS date_value, CAST(year(sale_date) AS BIGINT) AS year, CAST(mo
   weighted AS weighted_revenue, closed AS closed_opportunity, active AS active_opportunity,
   latest AS latest_status_entry, days AS sales_cycle_days
 FROM sales""",
+    "lake_report": f"""WITH {SALES}, counted AS (
+  SELECT COUNT(*) FILTER (segment = 'BUILDING') AS leads,
+    COUNT(*) FILTER (segment <> 'BUILDING' AND region = 'ASIA') AS people FROM sales
+)
+SELECT 1::BIGINT AS rule_no, 'lead_name' AS column_name, 'not_null' AS rule_type,
+  'Column ''lead_name'' contains ' || leads || ' NULL values' AS message, leads AS failed_count FROM counted
+UNION ALL SELECT 2, 'salesperson', 'not_null', 'Column ''salesperson'' contains ' || people || ' NULL values', people FROM counted""",
+    "lake_broken": f"""WITH {SALES}
+SELECT concat_ws(',', strftime(sale_date, '%-m/%-d/%Y'), salesperson, lead_name, segment, region,
+  strftime(target_close, '%-m/%-d/%Y'), 'n/a', stage, CAST(weighted AS VARCHAR), CAST(closed AS VARCHAR),
+  CAST(active AS VARCHAR), CAST(latest AS VARCHAR)) AS record, 'Forecasted Monthly Revenue: n/a' AS reason
+FROM sales WHERE region = 'EUROPE' AND stage = 'Lead'""",
+    "append_drift": f"""SELECT o_orderkey,
+  CASE WHEN o_orderdate < '1997-01-01' OR o_orderdate >= {CUT} THEN o_custkey END AS o_custkey,
+  CASE WHEN o_orderdate < {CUT} THEN o_orderstatus END AS o_orderstatus,
+  CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(18,4)) AS o_totalprice,
+  CASE WHEN o_orderdate >= '1997-01-01' THEN o_orderpriority END AS o_orderpriority,
+  CAST(o_orderdate AS DATE) AS order_date
+FROM orders""",
+    "csv_broken": """WITH cells AS (
+  SELECT *, o_orderkey % 7 AS k, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS price FROM orders
+)
+SELECT o_orderkey, o_custkey, CASE WHEN k <> 3 THEN o_orderstatus END AS o_orderstatus,
+  CASE WHEN k NOT IN (2, 3) THEN CAST(price AS DECIMAL(12,2)) END AS o_totalprice,
+  CASE k WHEN 1 THEN concat_ws(',', o_orderkey, o_custkey, o_orderstatus, price, 'more')
+    WHEN 2 THEN concat_ws(',', o_orderkey, o_custkey, o_orderstatus, 'n/a')
+    WHEN 3 THEN concat_ws(',', o_orderkey, o_custkey) END AS record,
+  CASE k WHEN 1 THEN 'more than 4 cells' WHEN 2 THEN 'o_totalprice: n/a' WHEN 3 THEN 'fewer than 4 cells' END AS reason
+FROM cells""",
     "lake_rejected": f"""WITH {SALES}, named AS (
   SELECT {SALES_NAMED} FROM sales WHERE region = 'EUROPE' AND stage = 'Lead'
 )

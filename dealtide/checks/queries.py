@@ -12,14 +12,14 @@ from dealtide.operators import explore, increments, merge, quality, runlog
 from dealtide.operators.numbering import number_rows
 from dealtide.operators.transforms import apply_transforms
 from dealtide.plans import dashboard, marts, star
-from dealtide.plans.loads import FACT, REJECTED, Lake
+from dealtide.plans.loads import BROKEN, FACT, REJECTED, Lake
 from dealtide.plans.sales_view import LINE_KEY, normalized_from_sales, read_table, sales_from_orders
 from dealtide.plans.silver import to_silver
 from dealtide.scratch import materialize, scratch_path
 from dealtide.sinks.files import export_reports, write_csv, write_parquet
 from dealtide.sources import catalog
 from dealtide.sources.catalog import SALES_FILE_COLUMNS
-from dealtide.sources.files import read_csv, read_source, register_views
+from dealtide.sources.files import REASON, RECORD, read_csv, read_source, register_views
 from dealtide.sources.tables import Table, greatest
 from dealtide.streaming.available_now import file_stream, merge_stream
 
@@ -616,9 +616,67 @@ def lake_rejected(spark, folder):
     return rejected.select(*names, F.concat_ws("; ", "failed_rules").alias("failed_rules"))
 
 
+@query
+def lake_report(spark, folder):
+    """The quality report that the refining of a whole export gives, counted while its rows are written."""
+    sales = _stored_sales(spark, folder)
+    path = scratch_path(spark, "export")
+    raw = _raw_sales(sales)
+    people = F.when(F.col("Region") != "ASIA", F.col("Salesperson"))
+    write_csv(raw.withColumn("Lead Name", F.when(F.col("Segment") != "BUILDING", F.col("Lead Name"))).withColumn("Salesperson", people), path)
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    lake.ingest(catalog.SALES, path)
+    return lake.refine(catalog.SALES)[1]
+
+
+@query
+def lake_broken(spark, folder):
+    """Lines of two exports whose revenue is no number, each once, as they stand in the files."""
+    sales = _stored_sales(spark, folder)
+    first, second = scratch_path(spark, "export-1"), scratch_path(spark, "export-2")
+    revenue = F.col("Forecasted Monthly Revenue").cast("string")
+    spoilt = (F.col("Region") == "EUROPE") & (F.col("Opportunity Stage") == "Lead")
+    for path, rows in ((first, sales.where(F.col("sale_date") <= F.lit(CUT).cast("date"))), (second, sales)):
+        write_csv(_raw_sales(rows).withColumn("Forecasted Monthly Revenue", F.when(spoilt, "n/a").otherwise(revenue)), path)
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    for path in (first, second):
+        lake.ingest(catalog.SALES, path)
+    return lake.table(catalog.SALES.bronze_table + BROKEN).read().select(F.col(RECORD).alias("record"), F.col(REASON).alias("reason"))
+
+
+@query
+def append_drift(spark, folder):
+    """Three appends to a table: columns come and go, keys and prices get wider types, and one comes back narrower."""
+    orders = read_table(spark, folder, "orders").withColumn("order_date", F.to_date("o_orderdate")).drop("o_orderdate")
+    table = Table(spark, scratch_path(spark, "drifting"))
+    day = F.col("order_date")
+    first, second = F.lit("1997-01-01").cast("date"), F.lit(CUT).cast("date")
+    price = F.col("o_totalprice").cast("decimal(12,2)")
+    early = orders.where(day < first).withColumns({"o_orderkey": F.col("o_orderkey").cast("int"), "o_totalprice": price})
+    table.append(early.drop("o_orderpriority"))
+    middle = orders.where((day >= first) & (day < second)).withColumn("o_totalprice", price.cast("decimal(18,4)"))
+    table.append(middle.drop("o_custkey"))
+    late = orders.where(day >= second).withColumns({"o_totalprice": price, "o_custkey": F.col("o_custkey").cast("int")})
+    table.append(late.drop("o_orderstatus"))
+    return table.read()
+
+
 # ---- sources and sinks -------------------------------------------------------------
 
 
+@query
+def csv_broken(spark, folder):
+    """Lines with too many cells, too few, and a price that is no number, beside sound ones."""
+    key = F.col("o_orderkey") % 7
+    price = F.when(key == 2, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string"))
+    cells = F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus", price)
+    line = F.when(key == 3, F.concat_ws(",", "o_orderkey", "o_custkey")).when(key == 1, F.concat(cells, F.lit(",more"))).otherwise(cells)
+    path = scratch_path(spark, "broken-csv")
+    read_table(spark, folder, "orders").select(line.alias("value")).write.text(path)
+    columns = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "decimal(12,2)"}
+    return read_csv(spark, path, columns, header=False, broken=True).withColumnsRenamed({RECORD: "record", REASON: "reason"})
+
+
 @query
 def csv_roundtrip(spark, folder):
     path = scratch_path(spark, "sales-csv")

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from dealtide.functions.columns import named
 
 
-def increment(df: DataFrame, column: str, watermark: str | None, lookback_days: int = 0) -> DataFrame:
-    """Rows past the watermark, compared in the type of the column.
+def increment(
+    df: DataFrame, column: str, watermark: str | None, lookback_days: int = 0, also: Column | None = None
+) -> DataFrame:
+    """Rows past the watermark, compared in the type of the column, and those for which ``also`` holds.
 
     Without a watermark all rows pass. ``lookback_days`` also admits late rows; a later
     merge by key absorbs those seen before. The bound is a literal of the column's own
@@ -23,7 +25,8 @@ def increment(df: DataFrame, column: str, watermark: str | None, lookback_days:
     bound: Column = F.lit(watermark).cast(kind)
     if lookback_days:
         bound = (bound - F.expr(f"INTERVAL {int(lookback_days)} DAYS")).cast(kind)
-    return df.where(named(column) > bound)
+    past = named(column) > bound
+    return df.where(past if also is None else F.coalesce(past, F.lit(False)) | also)
 
 
 def watermark_row(df: DataFrame, table_name: str, column: str) -> DataFrame:

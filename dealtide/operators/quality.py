@@ -80,11 +80,15 @@ def kept(df: DataFrame, rules: Sequence[Rule | Mapping[str, object]]) -> DataFra
     return df.where(_all_pass(rules_of(rules)))
 
 
+def broken_rules(rules: Sequence[Rule | Mapping[str, object]]) -> Column:
+    """The names of all the rules that a row breaks."""
+    checks = rules_of(rules)
+    return F.array_compact(F.array(*[F.when(~r.passes(), F.lit(r.label)) for r in checks])) if checks else F.array().cast("array<string>")
+
+
 def quarantine(df: DataFrame, rules: Sequence[Rule | Mapping[str, object]]) -> DataFrame:
     """The other rows, with the names of all the rules they break."""
-    checks = rules_of(rules)
-    broken = F.array_compact(F.array(*[F.when(~r.passes(), F.lit(r.label)) for r in checks])) if checks else F.array()
-    return df.where(~_all_pass(checks)).withColumn("failed_rules", broken)
+    return df.where(~_all_pass(rules_of(rules))).withColumn("failed_rules", broken_rules(rules))
 
 
 def failure_counts(rules: Sequence[Rule | Mapping[str, object]]) -> list[Column]:
@@ -102,9 +106,13 @@ def failure_counts(rules: Sequence[Rule | Mapping[str, object]]) -> list[Column]
 
 def report(df: DataFrame, rules: Sequence[Rule | Mapping[str, object]]) -> DataFrame:
     """One row per failed rule, in rule order."""
-    checks = rules_of(rules)
+    return listed(df.agg(*(failure_counts(rules) or [row_count()])), rules)
+
+
+def listed(counted: DataFrame, rules: Sequence[Rule | Mapping[str, object]]) -> DataFrame:
+    """The report of a row of ``failure_counts``."""
     entries = []
-    for i, rule in enumerate(checks):
+    for i, rule in enumerate(rules_of(rules)):
         before, after = rule.wording()
         count = F.col(f"rule_{i}")
         entries.append(
@@ -116,7 +124,6 @@ def report(df: DataFrame, rules: Sequence[Rule | Mapping[str, object]]) -> DataF
                 count.alias("failed_count"),
             )
         )
-    counted = df.agg(*(failure_counts(checks) or [row_count()]))
     shape = "array<struct<rule_no:bigint,column_name:string,rule_type:string,message:string,failed_count:bigint>>"
-    listed = F.array(*entries) if entries else F.array().cast(shape)
-    return counted.select(F.inline(listed)).where("failed_count > 0")
+    rows = F.array(*entries) if entries else F.array().cast(shape)
+    return counted.select(F.inline(rows)).where("failed_count > 0")

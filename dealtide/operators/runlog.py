@@ -26,11 +26,12 @@ LOG_SCHEMA = (
 INCREMENT_NOTE = "incremental_column string, last_timestamp string, filtered_records boolean"
 
 
-def increment_note(column: str, last: str | None, filtered: bool) -> str | None:
-    """Note about the increment of a run; none if no filter was applied."""
-    if not filtered:
-        return None
-    return json.dumps({"incremental_column": column, "last_timestamp": last, "filtered_records": True})
+def increment_note(column: str, last: str | None, filtered: bool, **counts: int) -> str | None:
+    """Note about the increment of a run and rows it left aside; none if no filter was applied and none were."""
+    note: dict[str, object] = {name: n for name, n in counts.items() if n}
+    if filtered:
+        note = {"incremental_column": column, "last_timestamp": last, "filtered_records": True, **note}
+    return json.dumps(note) if note else None
 
 
 class RunLog:

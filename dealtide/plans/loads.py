@@ -13,19 +13,20 @@ from functools import partial as partial_of
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from dealtide.functions.columns import named, parse_date
 from dealtide.operators.increments import increment
 from dealtide.operators.merge import new_rows
-from dealtide.operators.quality import kept, quarantine, report
+from dealtide.operators.quality import broken_rules, failure_counts, listed, report
 from dealtide.operators.runlog import RunLog, increment_note
 from dealtide.operators.transforms import apply_transforms
 from dealtide.plans import dashboard, marts, star
+from dealtide.scratch import scratch_path
 from dealtide.sources.catalog import SALES, SOURCES, Source
-from dealtide.sources.files import read_source, register_views
-from dealtide.sources.tables import Load, Mark, Table, greatest
+from dealtide.sources.files import REASON, RECORD, TEXT_FORMATS, read_source, register_views
+from dealtide.sources.tables import Load, Mark, Table, greatest, write_apart
 
 # Typed value that orders the increments; kept next to the raw columns.
 ORDER = "_increment"
@@ -41,6 +42,9 @@ CONSUMED_SILVER = "silver-"
 CONSUMED = "bronze-"
 # Ending of the tables that hold the rows which silver's rules reject.
 REJECTED = "_rejected"
+FAILED_RULES = "failed_rules"
+# Ending of the tables that hold the records of bronze's files that do not fit the declared columns.
+BROKEN = "_broken"
 
 # Leads are known by name, segment and region: by name alone, one that moves would repeat.
 LEAD_KEY = "triple"
@@ -103,8 +107,8 @@ class Lake:
         )
 
     def _logged(
-        self, name: str, origin: str, target: str, partial: bool, work: Callable[[], Load], note: str | None = None,
-        kind: str | None = None, if_empty: str | None = None,
+        self, name: str, origin: str, target: str, partial: bool, work: Callable[[], Load],
+        note: Callable[[], str | None] = lambda: None, kind: str | None = None, if_empty: str | None = None,
     ) -> Load:
         run = self.log.start(name, origin, target, kind or ("incremental" if partial else "full"))
         try:
@@ -115,33 +119,69 @@ class Lake:
         if if_empty and not load.rows:
             self.log.empty(run, if_empty)
         else:
-            self.log.complete(run, load.rows, note)
+            self.log.complete(run, load.rows, note())
         return load
 
     def ingest(self, source: Source, path: str, incremental: bool = True, lookback_days: int = 0) -> Load:
         """Raw files to bronze: append what is past the watermark, or replace in full.
 
         Rows whose watermark value cannot be read enter with a full load only, since
-        nothing tells whether an increment has seen them before. If a full load, or the first one,
+        nothing tells whether an increment has seen them before; the run's note says how many there were. If a full load, or the first one,
         finds no rows, the table stays as it is and the run is logged as one of an empty source.
+
+        Records of csv and json files that do not fit the declared columns are not taken for rows with nulls: they go to the table of broken
+        records, as they stand in the file and with the reason, and the note counts them. An increment takes those past the watermark, and those
+        whose watermark value cannot be read if no such record is stored yet.
         """
         if lookback_days and not source.key:
             raise ValueError(f"{source.name} has no key, so rows that a look-back reads again could not be told apart")
         partial = source.incremental(incremental)
-        table = self.table(source.bronze_table)
+        table, aside = self.table(source.bronze_table), self.table(source.bronze_table + BROKEN)
         last = table.mark(source.watermark) if partial else None
+        text = source.format in TEXT_FORMATS
+        counts: dict[str, int] = {}
 
         def work() -> Load:
-            rows = read_source(self.spark, source.format, path, source.columns)
-            if not source.watermark:
-                return table.replace(rows, even_empty=False)
-            rows = increment(rows.withColumn(ORDER, ordering_value(source)), ORDER, last, lookback_days)
-            write = table.append if partial else table.replace
-            return write(rows, mark=greatest(rows, ORDER, last, stored_as=source.watermark), even_empty=False)
+            rows = read_source(self.spark, source.format, path, source.columns, **({"broken": True} if text else {}))
+            mark, unread = None, Observation()
+            if source.watermark:
+                rows = rows.withColumn(ORDER, ordering_value(source))
+                if last is not None and text:
+                    rows = rows.observe(unread, F.count_if(F.col(ORDER).isNull() & F.col(RECORD).isNull()).alias("unreadable"))
+                loose = F.col(RECORD).isNotNull() & F.col(ORDER).isNull() if text else F.lit(False)
+                rows = increment(rows, ORDER, last, lookback_days, also=loose)
+                mark = greatest(rows, ORDER, last, stored_as=source.watermark)
+            mode = "append" if partial else "replace"
+            if not text:
+                return (table.append if partial else table.replace)(rows, mark=mark, even_empty=False)
+            if mark:
+                sound = F.when(F.col(RECORD).isNull(), F.col(ORDER))
+                kind = rows.schema[ORDER].dataType.simpleString()
+                reached = F.greatest(F.max(sound), F.lit(last).cast(kind)).cast("string")
+                mark = Mark(mark.column, metric=reached.alias("mark"))
+            columns = [c for c in rows.columns if c not in (RECORD, REASON)]
+            beside = [RECORD, REASON, *([ORDER] if source.watermark else [])]
+
+            def unknown(broken: DataFrame) -> DataFrame:
+                """Without the records that cannot be ordered and are stored already."""
+                stored = aside.read().where(F.col(ORDER).isNull()).select(RECORD).distinct()
+                loose = broken.where(F.col(ORDER).isNull()).join(stored, RECORD, "left_anti").select(*broken.columns)
+                return broken.where(F.col(ORDER).isNotNull()).unionByName(loose)
+
+            sift = unknown if source.watermark and last is not None and aside.exists() else None
+            done, broken = write_apart(
+                table, aside, rows, F.col(RECORD).isNotNull(), columns, beside, (mode, mode), mark=mark, sift=sift
+            )
+            counts["broken_records"] = broken.rows
+            if source.watermark and last is not None:
+                counts["unreadable"] = unread.get["unreadable"]
+            return done
 
-        note = increment_note(source.watermark or "", last, last is not None)
         if_empty = f"no rows in {path}; {source.bronze_table} keeps its content" if last is None else None
-        return self._logged(source.bronze_table, path, source.bronze_table, partial, work, note, if_empty=if_empty)
+        return self._logged(
+            source.bronze_table, path, source.bronze_table, partial, work,
+            lambda: increment_note(source.watermark or "", last, last is not None, **counts), if_empty=if_empty,
+        )
 
     def refine(self, source: Source, incremental: bool = True) -> tuple[Load, DataFrame]:
         """Bronze to silver; also gives the quality report of the rows just read.
@@ -151,7 +191,8 @@ class Lake:
         where it has none. If bronze was replaced meanwhile, all of it is read.
         Without ``incremental`` the table is replaced.
 
-        Rows that break a rule go to the table of rejected rows, with the rules they break.
+        Rows that break a rule go to the table of rejected rows, with the rules they break. The rows kept, those rejected and the counts of the report come
+        from one pass over bronze.
         """
         partial = source.incremental(incremental)
         table, bronze = self.table(source.silver_table), self.table(source.bronze_table)
@@ -168,23 +209,53 @@ class Lake:
         load_id = f"{CONSUMED}{version}" if partial else f"{CONSUMED}{version}-{uuid4().hex}"
         merged = bool(incremental and source.key)
         changed = apply_transforms(raw, source.transforms)
+        modes = ("append" if partial else "replace", "append" if partial and seen is not None else "replace")
+        counted: dict[str, object] = {}
+
+        def marked(rows: DataFrame, of: Column) -> Mark | None:
+            if not source.watermark:
+                return None
+            reached = F.greatest(F.max(of), F.lit(last).cast(rows.schema[ORDER].dataType)).cast("string")
+            return Mark(source.watermark, metric=reached.alias("mark"))
 
         def work() -> Load:
-            if source.rules:
-                # before silver, whose load id makes a repeated run pass both by
-                aside = self.table(source.silver_table + REJECTED)
-                write = aside.append if partial and seen is not None else aside.replace
-                write(quarantine(changed, source.rules), load_id)
-            rows = kept(changed, source.rules)
-            mark = greatest(rows, ORDER, last, stored_as=source.watermark) if source.watermark else None
-            if merged:
-                return table.merge(rows, [source.key], [ORDER] if source.watermark else [], load_id, mark=mark)
-            return (table.append if partial else table.replace)(rows, load_id, mark=mark, even_empty=True)
-
-        note = increment_note(source.watermark or "", last, last is not None)
+            if not source.rules:
+                if merged:
+                    newest = [ORDER] if source.watermark else []
+                    return table.merge(changed, [source.key], newest, load_id, mark=marked(changed, F.col(ORDER)) if source.watermark else None)
+                return (table.append if partial else table.replace)(changed, load_id, mark=marked(changed, F.col(ORDER)) if source.watermark else None, even_empty=True)
+            flagged = changed.withColumn(FAILED_RULES, broken_rules(source.rules))
+            away, aside = F.size(FAILED_RULES) > 0, self.table(source.silver_table + REJECTED)
+            sound = F.when(~away, F.col(ORDER)) if source.watermark else F.lit(None)
+            if not merged:
+                done, _ = write_apart(
+                    table, aside, flagged, away, changed.columns, flagged.columns, modes, load_id,
+                    marked(changed, sound), even_empty=True, observe=failure_counts(source.rules),
+                )
+                counted.update({k: v for k, v in done.metrics.items() if k.startswith("rule_")})
+                return done
+            if table._done(load_id):
+                return Load(0, False)
+            # one pass as well; rows that stay are then merged by key, the few others stored
+            seen_rules = Observation()
+            path = scratch_path(self.spark, "refined")
+            flagged.observe(seen_rules, *failure_counts(source.rules)).withColumn("_away", away).write.partitionBy("_away").parquet(path)
+            counted.update(seen_rules.get)
+            staged = self.spark.read.schema(flagged.schema.add("_away", "boolean")).parquet(path)
+            (aside.append if modes[1] == "append" else aside.replace)(staged.where("_away").drop("_away"), load_id)
+            rows = staged.where("NOT _away").drop("_away", FAILED_RULES)
+            mark = marked(rows, F.col(ORDER)) if source.watermark else None
+            return table.merge(rows, [source.key], [ORDER] if source.watermark else [], load_id, mark=mark)
+
         kind = "merge" if merged and not partial else None
-        load = self._logged(source.name, source.bronze_table, source.silver_table, partial, work, note, kind)
-        return load, report(changed, source.rules)
+        load = self._logged(
+            source.name, source.bronze_table, source.silver_table, partial, work,
+            lambda: increment_note(source.watermark or "", last, last is not None), kind,
+        )
+        if source.rules and not counted:
+            return load, report(changed, source.rules)  # nothing was written, so nothing counted
+        row = [F.lit(n).cast("bigint").alias(name) for name, n in counted.items()]
+        return load, listed(self.spark.range(1, numPartitions=1).select(*row), source.rules)
 
     def _gold(self, name: str, build: Callable[[DataFrame], DataFrame], sales: Table) -> Load:
         version = str(sales.version())

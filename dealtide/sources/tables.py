@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from datetime import datetime, timezone
 from uuid import uuid4
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealtide.functions.columns import named, row_count
+from dealtide.functions.types import common_shape
 from dealtide.operators.merge import apply_increment, reduce_increment
 from dealtide.scratch import append_row, folder_exists
 from dealtide.sinks.files import write_parquet
@@ -48,6 +50,20 @@ def greatest(df: DataFrame, column: str, last: str | None = None, stored_as: str
     return Mark(stored_as or column, metric=metric.alias("mark"))
 
 
+def _shape_of(commit: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(commit.shape))
+
+
+def _in_shape(df: DataFrame, whole: T.StructType) -> DataFrame:
+    """``df`` with the columns and types of ``whole``; columns it lacks are null."""
+    if df.schema.simpleString() == whole.simpleString():
+        return df
+    present = set(df.columns)
+    return df.select(
+        *[(named(c.name) if c.name in present else F.lit(None)).cast(c.dataType).alias(c.name) for c in whole]
+    )
+
+
 class Table:
     """A folder with one subfolder per write and a list of commits.
 
@@ -93,15 +109,36 @@ class Table:
         found = self._of_log(F.col("load_id").startswith(prefix), F.max_by("load_id", "version"))
         return found and found[0]
 
+    def _folder(self, commit: Row) -> str:
+        """Where a commit's rows lie; beside this table's folder, if they were written together with another table's."""
+        away = commit.folder.startswith("/") or "://" in commit.folder
+        return commit.folder if away else f"{self.path}/{commit.folder}"
+
     def _scan(self, commits: Sequence[Row]) -> DataFrame:
-        shape = commits[-1].shape
-        reader = self.spark.read.schema(T.StructType.fromJson(json.loads(shape))) if shape else self.spark.read
-        return reader.parquet(*[f"{self.path}/{c.folder}" for c in commits])
+        """The rows of some commits in the shape that holds them all.
+
+        Commits of one shape are one scan. Where columns came, went or got wider meanwhile, the scans
+        are united: a column that a commit lacks is null in its rows.
+        """
+        shapes = [_shape_of(c) for c in commits]
+        whole = common_shape(shapes)
+        scans: dict[str, tuple[T.StructType, list[str]]] = {}
+        for commit, shape in zip(commits, shapes, strict=True):
+            if commit.written:
+                scans.setdefault(shape.simpleString(), (shape, []))[1].append(self._folder(commit))
+        parts = [
+            _in_shape(self.spark.read.schema(shape).parquet(*folders), whole) for shape, folders in scans.values()
+        ]
+        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], whole)
+
+    def _live(self) -> list[Row]:
+        """The last full state's commit and those since."""
+        found = self._of_log(F.col("mode") == "replace", F.max("version"))
+        return self.commits(after=((found and found[0]) or 1) - 1)
 
     def read(self) -> DataFrame:
         """The last full state and what was appended since."""
-        found = self._of_log(F.col("mode") == "replace", F.max("version"))
-        live = self.commits(after=((found and found[0]) or 1) - 1)
+        live = self._live()
         if not live:
             raise ValueError(f"no table at {self.path}")
         return self._scan(live)
@@ -132,18 +169,39 @@ class Table:
     ) -> Load:
         if self._done(load_id):
             return Load(0, False)
-        version = self.version() + 1
-        folder = f"v{version}-{uuid4().hex}"
+        self.accepts(df.schema, mode)
+        folder = self.new_folder()
         seen = Observation()
         wanted = [row_count().alias("rows")] + ([mark.metric] if mark and mark.metric is not None else [])
         write_parquet(df, f"{self.path}/{folder}", partition_by=partition_by, observe=(seen, wanted))
         measured = dict(seen.get)
-        rows = measured.pop("rows")
+        return self.note(folder, df.schema, mode, measured.pop("rows"), load_id, mark, even_empty, measured)
+
+    def new_folder(self) -> str:
+        return f"v{self.version() + 1}-{uuid4().hex}"
+
+    def accepts(self, shape: T.StructType, mode: str) -> None:
+        """An error if rows of this shape cannot be appended: a column's type would lose values."""
+        if mode == "append":
+            common_shape([*[_shape_of(c) for c in self._live()], shape])
+
+    def note(
+        self,
+        folder: str,
+        shape: T.StructType,
+        mode: str,
+        rows: int,
+        load_id: str | None,
+        mark: Mark | None,
+        even_empty: bool,
+        measured: dict[str, object],
+    ) -> Load:
+        """Commit rows that were written to a folder of this table, or of one beside it."""
         if rows == 0 and not even_empty:
             return Load(0, False, measured)
         column, value = (mark.column, measured.get("mark", mark.value)) if mark else (None, None)
         row = {
-            "version": version,
+            "version": self.version() + 1,
             "mode": mode,
             "folder": folder,
             "load_id": load_id,
@@ -151,7 +209,7 @@ class Table:
             "column_name": column,
             "max_value": value,
             "committed_at": datetime.now(timezone.utc),
-            "shape": df.schema.json(),
+            "shape": shape.json(),
         }
         append_row(self.spark, f"{self.path}/_log", row, _COMMIT)
         return Load(rows, True, measured)
@@ -198,3 +256,51 @@ class Table:
             return self._commit(latest, "append", load_id, (), mark, load_id is not None)
         merged = apply_increment(self.read(), latest, keys) if self.exists() else latest
         return self._commit(merged, "replace", load_id, partition_by, mark, True)
+
+
+# Name of the folders that part the rows of one write.
+_SIDE = "_aside"
+
+
+def write_apart(
+    table: Table,
+    aside: Table,
+    rows: DataFrame,
+    away: Column,
+    columns: Sequence[str],
+    aside_columns: Sequence[str],
+    modes: tuple[str, str],
+    load_id: str | None = None,
+    mark: Mark | None = None,
+    even_empty: bool = False,
+    observe: Sequence[Column] = (),
+    sift: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[Load, Load]:
+    """One write for two tables: rows where ``away`` holds go to ``aside``, the others to ``table``.
+
+    Both are parts of one folder, so the source is read once, and no row moves. ``mark`` and ``observe`` see all rows. The
+    rows aside are committed first: a run repeated after a failure passes them by their load id. With ``sift`` only
+    what it leaves of them is kept, written anew.
+    """
+    if table._done(load_id):
+        return Load(0, False), Load(0, False)
+    shapes = [rows.select(*[named(c) for c in names]).schema for names in (columns, aside_columns)]
+    table.accepts(shapes[0], modes[0])
+    aside.accepts(shapes[1], modes[1])
+    folder, seen = table.new_folder(), Observation()
+    wanted = [F.count_if(~away).alias("rows"), F.count_if(away).alias("away"), *observe]
+    wanted += [mark.metric] if mark and mark.metric is not None else []
+    rows.observe(seen, *wanted).withColumn(_SIDE, away).write.partitionBy(_SIDE).parquet(f"{table.path}/{folder}")
+    measured = dict(seen.get)
+    kept, apart = measured.pop("rows"), measured.pop("away")
+    side = f"{folder}/{_SIDE}=true"
+    (home, own), (other, _) = table.path.rsplit("/", 1), aside.path.rsplit("/", 1)
+    side = f"../{own}/{side}" if home == other else f"{table.path}/{side}"
+    if sift and apart:
+        found = sift(table.spark.read.schema(shapes[1]).parquet(f"{table.path}/{folder}/{_SIDE}=true"))
+        done = aside._commit(found, modes[1], load_id, (), None, False)
+    elif load_id is None or not aside._done(load_id):
+        done = aside.note(side, shapes[1], modes[1], apart, load_id, None, modes[1] == "replace" or even_empty, {})
+    else:
+        done = Load(0, False)
+    return table.note(f"{folder}/{_SIDE}=false", shapes[0], modes[0], kept, load_id, mark, even_empty, measured), done

@@ -15,7 +15,7 @@ from dealtide.operators.transforms import apply_transforms
 from dealtide.plans.silver import to_silver
 from dealtide.sinks.files import export_reports, write_parquet
 from dealtide.sources import catalog
-from dealtide.sources.files import read_csv, read_source, register_views
+from dealtide.sources.files import REASON, RECORD, read_csv, read_source, register_views
 
 
 def rows(df):
@@ -169,3 +169,25 @@ def test_sales_file_to_silver(spark):
     ]
     assert [r.failed_rules for r in silver.rejected.collect()] == [["not_null(lead_name)"]]
     assert [(r.column_name, r.failed_count) for r in silver.report.collect()] == [("lead_name", 1)]
+
+
+def test_broken_records_keep_their_text_and_a_reason(spark, tmp_path):
+    columns = {"n": "int", "note": "string", "flag": "boolean", "day": "date"}
+    path = tmp_path / "broken.csv"
+    path.write_text('n,note,flag,day\n1,a,true,1/2/2017\nx,"a, b",true,\n2,b\n3,c,maybe,1/2/2017,more\n4,,,never\n,,,\n')
+    found = read_csv(spark, str(path), columns, broken=True)
+    assert [(r.n, r[RECORD], r[REASON]) for r in found.collect()] == [
+        (1, None, None),
+        (None, 'x,"a, b",true,', "n: x"),
+        (2, "2,b", "fewer than 4 cells"),
+        (3, "3,c,maybe,1/2/2017,more", "more than 4 cells; flag: maybe"),
+        (4, None, None),
+        (None, None, None),
+    ]
+    assert rows(found.select("n").where(F.col(RECORD).isNull())) == [(1,), (4,), (None,)]
+    path = tmp_path / "broken.json"
+    path.write_text('{"n": 1}\n{"n": "x"}\nnothing\n')
+    found = read_source(spark, "json", str(path), columns, broken=True)
+    assert [r[RECORD] for r in found.collect()] == [None, '{"n": "x"}', "nothing"]
+    with pytest.raises(ValueError, match="declared columns"):
+        read_source(spark, "parquet", str(path), columns, broken=True)

@@ -8,12 +8,14 @@ from datetime import date
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dealtide.functions.columns import parse_date
+from dealtide.functions.types import wider
 from dealtide.operators import increments, merge
 from dealtide.operators.numbering import number_rows
 from dealtide.scratch import scratch_root
-from dealtide.sources.tables import Load, Mark, Table, greatest
+from dealtide.sources.tables import Load, Mark, Table, greatest, write_apart
 from dealtide.streaming.available_now import append_stream, file_stream, merge_stream
 
 
@@ -247,3 +249,55 @@ def test_late_rows_reach_silver_once(spark, tmp_path):
     assert sorted(r.date_id for r in lake.table(dates.silver_table).read().collect()) == ["a", "b", "c", "d"]
     with pytest.raises(ValueError, match="no key"):
         lake.ingest(SALES, str(path), lookback_days=30)
+
+
+def test_a_table_takes_columns_that_come_go_and_widen(spark, tmp_path):
+    table = Table(spark, str(tmp_path / "t"))
+    table.append(spark.createDataFrame([(1, "a")], "k int, v string"))
+    table.append(spark.createDataFrame([(2**40, 1.5)], "k bigint, w double"))
+    table.append(spark.createDataFrame([(3, "c", 7)], "k smallint, v string, w int"))
+    table.append(spark.createDataFrame([], "k int, only_here date"), even_empty=True)
+    assert bag(table.read().select("k", "v", "w", "only_here")) == bag(
+        spark.createDataFrame([(1, "a", None, None), (2**40, None, 1.5, None), (3, "c", 7.0, None)], "k bigint, v string, w double, only_here date")
+    )
+    version = table.version()
+    for wrong in ("k string", "v int", "w bigint", "k double", "w timestamp"):
+        with pytest.raises(ValueError, match="does not go with"):
+            table.append(spark.createDataFrame([(None,)], wrong))
+    assert table.version() == version
+    table.replace(spark.createDataFrame([("new",)], "k string"))
+    assert bag(table.read()) == [("new",)]
+    empty = Table(spark, str(tmp_path / "empty"))
+    empty.replace(spark.createDataFrame([], "k int"))
+    assert empty.read().columns == ["k"] and empty.read().collect() == []
+
+
+def test_types_that_hold_the_values_of_two():
+    def of(a, b):
+        found = wider(T._parse_datatype_string(a), T._parse_datatype_string(b))
+        assert found == wider(T._parse_datatype_string(b), T._parse_datatype_string(a))
+        return found and found.simpleString()
+
+    assert of("int", "bigint") == "bigint" and of("smallint", "tinyint") == "smallint" and of("int", "double") == "double"
+    assert of("decimal(5,2)", "decimal(4,3)") == "decimal(6,3)" and of("int", "decimal(3,1)") == "decimal(11,1)"
+    assert of("float", "double") == "double" and of("void", "date") == "date" and of("array<int>", "array<int>") == "array<int>"
+    assert of("bigint", "double") is None and of("string", "int") is None and of("decimal(38,0)", "decimal(5,2)") is None
+
+
+def test_one_write_for_two_tables(spark, tmp_path):
+    sound, other = Table(spark, str(tmp_path / "a")), Table(spark, str(tmp_path / "b"))
+    rows = spark.range(10).select("id", (F.col("id") * 2).alias("v"), F.when(F.col("id") > 7, "big").alias("why"))
+
+    def run(load_id, rows, modes=("append", "append")):
+        return write_apart(sound, other, rows, F.col("why").isNotNull(), ["id", "v"], ["id", "why"], modes, load_id, Mark("id", metric=F.max("id").cast("string").alias("mark")))
+
+    done = run("1", rows)
+    assert [d.rows for d in done] == [8, 2] and sound.mark("id") == "9"
+    assert bag(other.read()) == [(8, "big"), (9, "big")] and sound.read().columns == ["id", "v"]
+    assert not run("1", rows)[0].committed and sound.read().count() == 8
+    # a run that stopped between the two commits
+    other.append(spark.createDataFrame([(99, "late")], "id long, why string"), load_id="2")
+    assert [d.committed for d in run("2", rows)] == [True, False]
+    assert sound.read().count() == 16 and other.read().count() == 3
+    run("3", rows.where("id < 3"), ("replace", "replace"))
+    assert sound.read().count() == 3 and other.read().collect() == []

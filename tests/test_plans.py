@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from dealtide.operators import explore, runlog
 from dealtide.plans import dashboard, marts, star
-from dealtide.plans.loads import BUILT_FROM, DIMENSIONS, REJECTED, Lake
+from dealtide.plans.loads import BROKEN, BUILT_FROM, DIMENSIONS, REJECTED, Lake
 from dealtide.scratch import materialize
 from dealtide.session import shuffle_partitions
 from dealtide.sinks import jdbc
@@ -418,6 +418,34 @@ def test_lake_of_the_flat_file(spark, tmp_path):
     }
 
 
+def test_broken_lines_are_stored_once_and_counted(spark, tmp_path):
+    lake, source = Lake(spark, str(tmp_path / "lake")), catalog.SALES
+    file = tmp_path / "sales.csv"
+    good, wrong = line("9/9/2016", "Ann", "Acme", "Lead", 10), line("9/10/2016", "Ann", "Acme", "Lead", "ten")
+    loose = "no date,at all"
+
+    def run(*lines):
+        file.write_text("\n".join([SALES_HEADER, *lines]) + "\n")
+        return lake.ingest(source, str(file))
+
+    assert run(good, wrong, loose).rows == 1
+    broken = lake.table(source.bronze_table + BROKEN)
+    assert bag(broken.read().select("_record", "_reason")) == [
+        (wrong, "Forecasted Monthly Revenue: ten; Weighted Revenue: ten"), (loose, "fewer than 12 cells"),
+    ]
+    undated = line("soon", "Ann", "Acme", "Lead", 10)
+    later, worse = line("10/1/2016", "Bob", "Bolt", "Lead", 1), line("10/2/2016", "Bob", "Bolt", "Lead", "1") + ",x"
+    assert run(good, wrong, loose, later, worse, undated, "other,thing").rows == 1
+    assert broken.read().count() == 4 and lake.table(source.bronze_table).read().count() == 2
+    notes = lake.log.rows().where("status = 'COMPLETED'").orderBy("event_time").collect()
+    assert json.loads(notes[0].metadata) == {"broken_records": 2}
+    found = json.loads(notes[1].metadata)
+    assert (found["broken_records"], found["unreadable"], found["last_timestamp"]) == (2, 1, "2016-09-09")
+    # the report comes from the pass that wrote the rows
+    load, report = lake.refine(source)
+    assert load.rows == 2 and "bronze" not in report._jdf.queryExecution().toString() and report.collect() == []
+
+
 def test_lake_of_related_files(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
     files = {
