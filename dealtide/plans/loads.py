@@ -131,7 +131,7 @@ class Lake:
 
         Records of csv and json files that do not fit the declared columns are not taken for rows with nulls: they go to the table of broken
         records, as they stand in the file and with the reason, and the note counts them. An increment takes those past the watermark, and those
-        whose watermark value cannot be read if no such record is stored yet.
+        whose watermark value cannot be read, unless a record of the same text is stored already.
         """
         if lookback_days and not source.key:
             raise ValueError(f"{source.name} has no key, so rows that a look-back reads again could not be told apart")
@@ -163,10 +163,8 @@ class Lake:
             beside = [RECORD, REASON, *([ORDER] if source.watermark else [])]
 
             def unknown(broken: DataFrame) -> DataFrame:
-                """Without the records that cannot be ordered and are stored already."""
-                stored = aside.read().where(F.col(ORDER).isNull()).select(RECORD).distinct()
-                loose = broken.where(F.col(ORDER).isNull()).join(stored, RECORD, "left_anti").select(*broken.columns)
-                return broken.where(F.col(ORDER).isNotNull()).unionByName(loose)
+                """Without the records that are stored already: the watermark does not pass broken ones."""
+                return broken.join(aside.read().select(RECORD).distinct(), RECORD, "left_anti").select(*broken.columns)
 
             sift = unknown if source.watermark and last is not None and aside.exists() else None
             done, broken = write_apart(
