@@ -584,3 +584,6 @@ FROM numbered GROUP BY o_orderstatus, o_orderpriority""",
 ORACLES["fact_sales_stored"] = ORACLES["fact_sales"]
 ORACLES["lake_dim_lead"] = ORACLES["dim_lead_by_triple"]
 ORACLES["lake_performance"] = ORACLES["performance"]
+ORACLES["merge_buckets"] = ORACLES["merge_upsert"]
+ORACLES["stream_late_files"] = ORACLES["stream_available_now"]
+ORACLES["stream_state"] = ORACLES["stream_available_now"]

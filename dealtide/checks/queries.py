@@ -21,7 +21,7 @@ from dealtide.sources import catalog
 from dealtide.sources.catalog import SALES_FILE_COLUMNS
 from dealtide.sources.files import REASON, RECORD, read_csv, read_source, register_views
 from dealtide.sources.tables import Table, greatest
-from dealtide.streaming.available_now import file_stream, merge_stream
+from dealtide.streaming.available_now import file_stream, merge_stream, newest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -572,6 +572,42 @@ def _lake_of_two_loads(spark: SparkSession, folder: str, build: Callable[[Lake],
     return lake
 
 
+def _late_events(spark: SparkSession, folder: str, run: Callable[[DataFrame, Table, str], None]) -> DataFrame:
+    """Newest event per user; the files with the later half of the events arrive first, the others one run later."""
+    events = read_table(spark, folder, "events")
+    middle = events.agg(F.percentile_approx("ts", 0.5)).scalar()
+    marked = materialize(events.withColumn("late", F.col("ts") <= middle), "events")
+    files, checkpoint = scratch_path(spark, "arriving"), scratch_path(spark, "stream")
+    table = Table(spark, scratch_path(spark, "user-state"))
+    for late in (False, True):
+        marked.where(F.col("late") == late).drop("late").write.mode("append").parquet(files)
+        run(file_stream(spark, files, events.schema), table, checkpoint)
+    return table.read()
+
+
+@query
+def stream_late_files(spark, folder):
+    """Late files merged into buckets of the users; what is stored may be newer and then stays."""
+    return _late_events(spark, folder, lambda s, t, c: merge_stream(s, t, ["user_id"], ["ts", "event_id"], c, buckets=8))
+
+
+@query
+def stream_state(spark, folder):
+    """The same with the newest event of each user in the state store."""
+    return _late_events(spark, folder, lambda s, t, c: newest_stream(s, t, ["user_id"], ["ts", "event_id"], c, buckets=8))
+
+
+@query
+def merge_buckets(spark, folder):
+    """Line items kept in buckets of their key; the later ones are merged into those they meet."""
+    rows = _line_versions(spark, folder)
+    cut = F.lit(CUT).cast("date")
+    table = Table(spark, scratch_path(spark, "line-state"))
+    for part in (rows.where(F.col("changed_on") <= cut), rows.where(F.col("changed_on") > cut)):
+        table.merge(part, LINE, ["changed_on"], buckets=16)
+    return table.read()
+
+
 @query
 def lake_load(spark, folder):
     """Two exports of the sales file through bronze and silver into a gold table."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealtide.functions.columns import all_present, named
@@ -42,14 +42,33 @@ def _without(target: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataF
     return target.join(replaced, list(keys), "left_anti").select(*[named(c) for c in target.columns])
 
 
+# So many keys of an increment are listed in the filter of the look-up, at most.
+_LISTED = 1000
+
+
+def met_keys(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of the target that ``incoming`` has too, as often as the target has them.
+
+    The increment's keys come first: few of them are a filter that the file scan applies, so that sorted files with Bloom filters are
+    mostly skipped; more are written, and their measured size decides whether they are broadcast. So no task holds, sorts or
+    aggregates the keys of the target.
+    """
+    wanted = _keys_of(incoming, keys).where(all_present(keys))
+    if len(keys) == 1:
+        some = wanted.distinct().limit(_LISTED + 1).collect()
+        if len(some) <= _LISTED:
+            return _keys_of(target, keys).where(named(keys[0]).isin([r[0] for r in some]))
+    return _keys_of(target, keys).join(materialize(wanted, "keys"), list(keys), "left_semi")
+
+
 def new_rows(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Incoming rows whose key the target lacks."""
-    return incoming.join(_keys_of(target, keys).distinct(), list(keys), "left_anti")
+    return incoming.join(met_keys(target, incoming, keys), list(keys), "left_anti")
 
 
 def updating_rows(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Incoming rows whose key the target has; never multiplied by duplicates there."""
-    return incoming.join(_keys_of(target, keys).distinct(), list(keys), "left_semi")
+    return incoming.join(met_keys(target, incoming, keys), list(keys), "left_semi")
 
 
 def reduce_increment(incoming: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
@@ -66,6 +85,16 @@ def apply_increment(target: DataFrame, latest: DataFrame, keys: Sequence[str]) -
     return _without(target, latest, keys).unionByName(latest)
 
 
+def compete(target: DataFrame, latest: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
+    """Both together with one row per key, the newest, whichever side it is on. The target is read once."""
+    return newest_per_key(target.unionByName(latest), keys, newest)
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """The bucket of a key; the same for whole numbers of any width."""
+    return F.pmod(F.xxhash64(*[named(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+
+
 def merge_rows(
     target: DataFrame,
     incoming: DataFrame,

@@ -77,10 +77,14 @@ def consumed(silver: Table) -> int | None:
 
 
 class Lake:
-    """Tables and run log below one shared folder."""
+    """Tables and run log below one shared folder.
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
+    Silver tables with a key lie in ``buckets`` of it: choose so many that one is a task's share of the largest.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 16) -> None:
         self.spark = spark
+        self.buckets = buckets
         self.path = path.rstrip("/")
         self.log = RunLog(spark, f"{self.path}/run_log")
 
@@ -220,7 +224,7 @@ class Lake:
             if not source.rules:
                 if merged:
                     newest = [ORDER] if source.watermark else []
-                    return table.merge(changed, [source.key], newest, load_id, mark=marked(changed, F.col(ORDER)) if source.watermark else None)
+                    return table.merge(changed, [source.key], newest, load_id, marked(changed, F.col(ORDER)) if source.watermark else None, self.buckets)
                 return (table.append if partial else table.replace)(changed, load_id, mark=marked(changed, F.col(ORDER)) if source.watermark else None, even_empty=True)
             flagged = changed.withColumn(FAILED_RULES, broken_rules(source.rules))
             away, aside = F.size(FAILED_RULES) > 0, self.table(source.silver_table + REJECTED)
@@ -243,7 +247,7 @@ class Lake:
             (aside.append if modes[1] == "append" else aside.replace)(staged.where("_away").drop("_away"), load_id)
             rows = staged.where("NOT _away").drop("_away", FAILED_RULES)
             mark = marked(rows, F.col(ORDER)) if source.watermark else None
-            return table.merge(rows, [source.key], [ORDER] if source.watermark else [], load_id, mark=mark)
+            return table.merge(rows, [source.key], [ORDER] if source.watermark else [], load_id, mark, self.buckets)
 
         kind = "merge" if merged and not partial else None
         load = self._logged(

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 def write_parquet(
@@ -14,18 +15,26 @@ def write_parquet(
     mode: str = "errorifexists",
     partition_by: Sequence[str] = (),
     observe: tuple[Observation, Sequence[Column]] | None = None,
+    sort_by: Sequence[str] = (),
 ) -> None:
     """Parquet files, in a folder per value of ``partition_by`` where given.
 
+    With ``sort_by`` files are sorted by these columns and hold Bloom filters of them, so a look-up of some values
+    skips most row groups by their bounds and most others by the filters.
+
     Rows are first brought together by these values with a rebalance: AQE merges the
     small shares and splits a value that holds too much for one task, so there are
     neither many small files nor one very large one.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*[F.col(f"`{c}`") for c in (*partition_by, *sort_by)])
     if observe:
         df = df.observe(observe[0], *observe[1])
     writer = df.write.mode(mode)
+    for column in sort_by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

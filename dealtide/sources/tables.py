@@ -15,13 +15,14 @@ from pyspark.sql import types as T
 
 from dealtide.functions.columns import named, row_count
 from dealtide.functions.types import common_shape
-from dealtide.operators.merge import apply_increment, reduce_increment
+from dealtide.operators.merge import apply_increment, bucket_of, compete, reduce_increment
 from dealtide.scratch import append_row, folder_exists
 from dealtide.sinks.files import write_parquet
 
 _COMMIT = (
     "version bigint, mode string, folder string, load_id string, written bigint, "
-    "column_name string, max_value string, committed_at timestamp, shape string"
+    "column_name string, max_value string, committed_at timestamp, shape string, "
+    "buckets bigint, held string"
 )
 
 
@@ -50,6 +51,15 @@ def greatest(df: DataFrame, column: str, last: str | None = None, stored_as: str
     return Mark(stored_as or column, metric=metric.alias("mark"))
 
 
+# Folders of a table that is kept in buckets of its key.
+BUCKET = "_bucket"
+
+
+def _held(commit: Row) -> list[int]:
+    """The buckets that a commit holds."""
+    return [int(b) for b in commit.held.split(",")] if commit.held else []
+
+
 def _shape_of(commit: Row) -> T.StructType:
     return T.StructType.fromJson(json.loads(commit.shape))
 
@@ -67,7 +77,7 @@ def _in_shape(df: DataFrame, whole: T.StructType) -> DataFrame:
 class Table:
     """A folder with one subfolder per write and a list of commits.
 
-    A write fills a new subfolder and is visible once its commit row exists. The
+    A commit replaces all before it, adds to it, or replaces some buckets of it. A write fills a new subfolder and is visible once its commit row exists. The
     watermark is part of that row, so data and watermark move together. One writer at
     a time.
     """
@@ -114,8 +124,10 @@ class Table:
         away = commit.folder.startswith("/") or "://" in commit.folder
         return commit.folder if away else f"{self.path}/{commit.folder}"
 
-    def _scan(self, commits: Sequence[Row]) -> DataFrame:
-        """The rows of some commits in the shape that holds them all.
+    def _scan(self, commits: Sequence[Row], of: set[int] | None = None) -> DataFrame:
+        """The rows of some commits in the shape that holds them all; of those in buckets only the ones ``of`` some, if given.
+
+        A bucket's rows are those of the last commit that holds it.
 
         Commits of one shape are one scan. Where columns came, went or got wider meanwhile, the scans
         are united: a column that a commit lacks is null in its rows.
@@ -123,9 +135,14 @@ class Table:
         shapes = [_shape_of(c) for c in commits]
         whole = common_shape(shapes)
         scans: dict[str, tuple[T.StructType, list[str]]] = {}
-        for commit, shape in zip(commits, shapes, strict=True):
-            if commit.written:
-                scans.setdefault(shape.simpleString(), (shape, []))[1].append(self._folder(commit))
+        newest = {bucket: i for i, c in enumerate(commits) for bucket in _held(c)}
+        for i, (commit, shape) in enumerate(zip(commits, shapes, strict=True)):
+            held = _held(commit)
+            folders = [f"{self._folder(commit)}/{BUCKET}={b}" for b in held if newest[b] == i and (of is None or b in of)]
+            if commit.written and not commit.buckets:
+                folders = [self._folder(commit)]
+            if folders:
+                scans.setdefault(shape.simpleString(), (shape, []))[1].extend(folders)
         parts = [
             _in_shape(self.spark.read.schema(shape).parquet(*folders), whole) for shape, folders in scans.values()
         ]
@@ -146,12 +163,12 @@ class Table:
     def appended_since(self, version: int) -> DataFrame | None:
         """Rows appended after a version; none if nothing came or the table was replaced."""
         later = self.commits(after=version)
-        if not later or any(c.mode == "replace" for c in later):
+        if not later or any(c.mode != "append" for c in later):
             return None
         return self._scan(later)
 
     def replaced_since(self, version: int) -> bool:
-        found = self._of_log((F.col("version") > version) & (F.col("mode") == "replace"), F.count("*"))
+        found = self._of_log((F.col("version") > version) & (F.col("mode") != "append"), F.count("*"))
         return bool(found and found[0])
 
     def _done(self, load_id: str | None) -> bool:
@@ -195,6 +212,8 @@ class Table:
         mark: Mark | None,
         even_empty: bool,
         measured: dict[str, object],
+        buckets: int | None = None,
+        held: str | None = None,
     ) -> Load:
         """Commit rows that were written to a folder of this table, or of one beside it."""
         if rows == 0 and not even_empty:
@@ -210,6 +229,8 @@ class Table:
             "max_value": value,
             "committed_at": datetime.now(timezone.utc),
             "shape": shape.json(),
+            "buckets": buckets,
+            "held": held,
         }
         append_row(self.spark, f"{self.path}/_log", row, _COMMIT)
         return Load(rows, True, measured)
@@ -242,11 +263,15 @@ class Table:
         keys: Sequence[str],
         newest: Sequence[str] = (),
         load_id: str | None = None,
-        partition_by: Sequence[str] = (),
         mark: Mark | None = None,
+        buckets: int = 0,
+        competing: bool = False,
     ) -> Load:
         """Upsert by key; the first one only reduces the increment to one row per key.
 
+        With ``buckets`` the rows lie in so many buckets of their key, and only those that the increment meets are read and
+        written; the folders of all others stay as they are. A table that lies otherwise is brought into buckets by
+        its next merge. Rows of the increment replace those stored, unless ``competing``, when the newest of both stays.
         An empty increment leaves the rows as they are; its load id is noted.
         """
         if self._done(load_id):
@@ -254,8 +279,40 @@ class Table:
         latest = reduce_increment(incoming, keys, newest)
         if latest.isEmpty():
             return self._commit(latest, "append", load_id, (), mark, load_id is not None)
-        merged = apply_increment(self.read(), latest, keys) if self.exists() else latest
-        return self._commit(merged, "replace", load_id, partition_by, mark, True)
+        if buckets:
+            return self._merge_buckets(latest, keys, newest, load_id, mark, buckets, competing)
+        return self._commit(self._upserted(latest, keys, newest, competing, self.read() if self.exists() else None), "replace", load_id, (), mark, True)
+
+    def _upserted(self, latest: DataFrame, keys: Sequence[str], newest: Sequence[str], competing: bool, target: DataFrame | None) -> DataFrame:
+        if target is None:
+            return latest
+        shape = common_shape([target.schema, latest.schema])
+        target, latest = _in_shape(target, shape), _in_shape(latest, shape)
+        return compete(target, latest, keys, newest) if competing else apply_increment(target, latest, keys)
+
+    def _merge_buckets(
+        self, latest: DataFrame, keys: Sequence[str], newest: Sequence[str], load_id: str | None, mark: Mark | None, buckets: int, competing: bool
+    ) -> Load:
+        live = [c for c in self._live() if c.written]
+        kinds = {tuple(_shape_of(c)[k].dataType.simpleString() for k in keys) for c in live}
+        fits = all(c.buckets == buckets for c in live) and kinds <= {tuple(latest.schema[k].dataType.simpleString() for k in keys)}
+        if live and fits:
+            # there are ``buckets`` numbers at most
+            met = {r[0] for r in latest.select(bucket_of(keys, buckets)).distinct().collect()}
+            known = {b for c in live for b in _held(c)}
+            target, mode = self._scan(live, met) if met & known else None, "merge"
+            self.accepts(latest.schema, "append")
+        else:
+            target, mode = self.read() if live else None, "replace"
+        rows = self._upserted(latest, keys, newest, competing, target)
+        folder, seen = self.new_folder(), Observation()
+        wanted = [row_count().alias("rows"), F.array_sort(F.collect_set(BUCKET)).alias("held")]
+        wanted += [mark.metric] if mark and mark.metric is not None else []
+        placed = rows.withColumn(BUCKET, bucket_of(keys, buckets))
+        write_parquet(placed, f"{self.path}/{folder}", partition_by=[BUCKET], observe=(seen, wanted), sort_by=keys)
+        measured = dict(seen.get)
+        held = ",".join(map(str, measured.pop("held")))
+        return self.note(folder, rows.schema, mode, measured.pop("rows"), load_id, mark, True, measured, buckets, held)
 
 
 # Name of the folders that part the rows of one write.

@@ -16,7 +16,8 @@ from dealtide.operators import increments, merge
 from dealtide.operators.numbering import number_rows
 from dealtide.scratch import scratch_root
 from dealtide.sources.tables import Load, Mark, Table, greatest, write_apart
-from dealtide.streaming.available_now import append_stream, file_stream, merge_stream
+from dealtide.sinks.files import write_parquet
+from dealtide.streaming.available_now import append_stream, file_stream, merge_stream, newest_stream
 
 
 def bag(df):
@@ -301,3 +302,63 @@ def test_one_write_for_two_tables(spark, tmp_path):
     assert sound.read().count() == 16 and other.read().count() == 3
     run("3", rows.where("id < 3"), ("replace", "replace"))
     assert sound.read().count() == 3 and other.read().collect() == []
+
+
+def test_merge_rewrites_only_the_buckets_it_meets(spark, tmp_path):
+    table = Table(spark, str(tmp_path / "t"))
+    first = spark.range(200).select(F.col("id").alias("k"), F.lit("old").alias("v"), F.lit(0).alias("n"))
+    table.merge(first.unionByName(spark.createDataFrame([(None, "loose", 0)], "k long, v string, n int")), ["k"], ["n"], buckets=8)
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").glob("v1-*/*/*.parquet")}
+    change = spark.createDataFrame([(5, "new", 1), (5, "newer", 2), (999, "more", 1)], "k long, v string, n int")
+    met = {r[0] for r in change.select(merge.bucket_of(["k"], 8)).distinct().collect()}
+    done = table.merge(change, ["k"], ["n"], load_id="a", buckets=8)
+    assert done.committed and not table.merge(change, ["k"], ["n"], load_id="a", buckets=8).committed
+    written = {f.parent.name for f in (tmp_path / "t").glob("v2-*/*/*.parquet")}
+    assert written == {f"_bucket={b}" for b in met} and len(met) < 3
+    assert {f: f.stat().st_mtime_ns for f in files} == files
+    # untouched buckets are read where they were, met ones only where they are now
+    scanned = "".join(table.read().inputFiles())
+    assert all((f"v1-" in p) != (p.split("_bucket=")[1].split("/")[0] in map(str, met)) for p in table.read().inputFiles()) and "v2-" in scanned
+    wanted = {k: ("old", 0) for k in range(200)} | {5: ("newer", 2), 999: ("more", 1), None: ("loose", 0)}
+    assert {r.k: (r.v, r.n) for r in table.read().collect()} == wanted and table.read().count() == len(wanted)
+    assert table.appended_since(1) is None
+
+    # competing rows, a wider key, another number of buckets, rows added without buckets
+    table.merge(spark.createDataFrame([(5, "late", 1), (6, "late", 1)], change.schema), ["k"], ["n"], buckets=8, competing=True)
+    wanted |= {6: ("late", 1)}
+    assert {r.k: (r.v, r.n) for r in table.read().collect()} == wanted
+    table.merge(spark.createDataFrame([(7, "int", 3)], "k int, v string, n int"), ["k"], ["n"], buckets=8)
+    table.merge(spark.createDataFrame([(8, "x", 3)], change.schema), ["k"], ["n"], buckets=3)
+    table.append(spark.createDataFrame([(1000, "added", 0)], change.schema))
+    table.merge(spark.createDataFrame([(1000, "y", 3)], change.schema), ["k"], ["n"], buckets=3)
+    wanted |= {7: ("int", 3), 8: ("x", 3), 1000: ("y", 3)}
+    assert {r.k: (r.v, r.n) for r in table.read().collect()} == wanted and table.read().count() == len(wanted)
+    with pytest.raises(ValueError, match="does not go with"):
+        table.merge(spark.createDataFrame([(1, 2)], "k long, v int"), ["k"], buckets=3)
+    assert not table.merge(change.limit(0), ["k"], buckets=3).committed
+
+
+def test_few_keys_are_looked_up_by_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(20_000).select((F.col("id") * 2).alias("k"), F.col("id").cast("string").alias("v"))
+    write_parquet(rows.repartition(3), path, sort_by=["k"])
+    target = spark.read.parquet(path)
+    incoming = spark.createDataFrame([(4, "a"), (5, "b"), (None, "c")], "k long, v string")
+    assert bag(merge.new_rows(target, incoming, ["k"])) == [(5, "b"), (None, "c")]
+    found = merge.updating_rows(target, incoming, ["k"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert bag(found) == [(4, "a")]
+    assert "PushedFilters: [In(k, [4,5])" in plan and "Aggregate" not in plan
+    many = spark.range(3000).select("id", F.lit("x").alias("v")).withColumnRenamed("id", "k")
+    found = merge.new_rows(target, many, ["k"])
+    assert "Aggregate" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == 1500
+
+
+def test_late_files_do_not_undo_newer_rows(spark, tmp_path):
+    shape = T._parse_datatype_string("k int, v string, n int")
+    for name, run in (("a", merge_stream), ("b", newest_stream)):
+        folder, table = str(tmp_path / f"{name}-in"), Table(spark, str(tmp_path / name))
+        for part in ([(1, "new", 5), (2, "x", 1)], [(1, "late", 3), (3, "y", 1)], [(1, "newest", 6)]):
+            spark.createDataFrame(part, shape).write.mode("append").parquet(folder)
+            run(file_stream(spark, folder, shape), table, ["k"], ["n"], str(tmp_path / f"{name}-done"), buckets=2)
+        assert bag(table.read()) == [(1, "newest", 6), (2, "x", 1), (3, "y", 1)]
