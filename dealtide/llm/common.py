@@ -153,6 +153,16 @@ def fold(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, label)
 
 
+def numbered(documents: DataFrame, key: str) -> DataFrame:
+    """(_doc, _key, text, _row): the rows as structs with a number each, written once.
+
+    A scan may be split otherwise when it is planned again, as Spark looks at the cores there are at that moment. Numbers
+    given on the way would then name other rows; these are read back. The struct keeps columns of any name apart.
+    """
+    stored = fold(documents.select(F.struct("*").alias("_doc"), F.monotonically_increasing_id().alias("_row")), "numbered")
+    return stored.select("_doc", F.col(f"_doc.`{key}`").alias("_key"), F.col("_doc.text").alias("text"), "_row")
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable from each node of ``links`` (a, b), both long.
 

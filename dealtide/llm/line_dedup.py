@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dealtide.llm.common import fold, table
+from dealtide.llm.common import fold, numbered, table
 
 MIN_WORDS = 50
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -149,12 +149,12 @@ def dedup_lines(documents: DataFrame, key: str = "doc_id", min_words: int = MIN_
     earlier in the text without overlap. Lines without a word stay and do not part a run. A text
     whose lines all go becomes empty; null and empty texts stay as they are with 0 lines. Null
     keys count as smallest; repeated rows are copies of each other. Input columns n_lines and
-    n_deleted are replaced. An empty table stays empty. ``documents`` is read twice and has to
-    give the same rows in the same partitions, as a table does.
+    n_deleted are replaced, all others stay, whatever their names. An empty table stays empty. Rows are numbered and written once, so
+    ``documents`` may be split otherwise when it is read again; equal keys are ordered by these numbers.
     """
     columns = [c for c in documents.columns if c not in ("n_lines", "n_deleted")]
-    rows = documents.select(*columns).withColumn("_row", F.monotonically_increasing_id())
-    marks = later_copies(rows.select(key, "text", "_row"), key, min_words)
+    rows = numbered(documents.select(*columns), key)
+    marks = later_copies(rows.select("_key", "text", "_row"), "_key", min_words)
     joined = rows.join(marks, "_row", "left")
     size = F.coalesce(F.size(F.split("text", "\n")), F.lit(0))
     text = _bound(F.split("text", "\n"), lambda all_lines: _without(all_lines, F.col("deleted")))
@@ -162,7 +162,7 @@ def dedup_lines(documents: DataFrame, key: str = "doc_id", min_words: int = MIN_
     changed = {"text": F.when(F.col("deleted").isNull(), F.col("text")).otherwise(text)}
     counted = F.when(F.coalesce(F.length("text"), F.lit(0)) > 0, size).otherwise(0)
     return joined.select(
-        *[changed.get(c, F.col(c)).alias(c) for c in columns], counted.cast("long").alias("n_lines"), n_deleted.cast("long").alias("n_deleted")
+        *[changed.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in columns], counted.cast("long").alias("n_lines"), n_deleted.cast("long").alias("n_deleted")
     )
 
 
@@ -287,21 +287,22 @@ def dedup_passages(documents: DataFrame, key: str = "doc_id", min_words: int = M
     A word is deleted if it lies in a run of ``min_words`` words of one document that also occurs before: in a row with a
     smaller key (then in table order), or earlier in the text without overlap. Runs begin and end anywhere in a line; only
     words are compared, not the white space between them. A text whose words all go becomes empty; other texts stay as
-    they are, null and empty ones with 0 lines. Keys, repeated rows, replaced columns and the two reads are as in ``dedup_lines``.
+    they are, null and empty ones with 0 lines. Very long texts are
+    read whole. Keys, repeated rows, replaced columns and the numbers are as in ``dedup_lines``.
     """
     columns = [c for c in documents.columns if c not in ("n_lines", "n_deleted")]
-    rows = documents.select(*columns).withColumn("_row", F.monotonically_increasing_id())
-    marks = repeated_words_of(rows.select(key, "text", "_row"), key, min_words)
+    rows = numbered(documents.select(*columns), key)
+    marks = repeated_words_of(rows.select("_key", "text", "_row"), "_key", min_words)
     text = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(_cut(F.col("text"), F.col("cuts")))
 
     def lines(value: Column) -> Column:
         return F.when(F.coalesce(F.length(value), F.lit(0)) > 0, F.length(value) - F.length(F.replace(value, F.lit("\n"), F.lit(""))) + 1).otherwise(0)
 
-    joined = rows.join(marks, "_row", "left").withColumn("_cut", F.struct(lines(F.col("text")).alias("before"), text.alias("text")))
+    joined = rows.join(marks, "_row", "left").select("_doc", F.struct(lines(F.col("text")).alias("before"), text.alias("text")).alias("_cut"))
     changed = {"text": F.col("_cut.text")}
     before = F.col("_cut.before").cast("long")
     return joined.select(
-        *[changed.get(c, F.col(c)).alias(c) for c in columns], before.alias("n_lines"), (before - lines(F.col("_cut.text"))).cast("long").alias("n_deleted")
+        *[changed.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in columns], before.alias("n_lines"), (before - lines(F.col("_cut.text"))).cast("long").alias("n_deleted")
     )
 
 

@@ -13,7 +13,7 @@ import xxhash
 from odd_rows import none, odd, stored  # noqa: F401
 from pyspark.sql import functions as F
 
-from dealtide.llm import conversation_trie, substring_dedup, vector_codes
+from dealtide.llm import conversation_trie, line_dedup, simhash, substring_dedup, vector_codes
 from dealtide.llm.fm_index import FMIndex
 
 # 11 substring dedup
@@ -97,6 +97,30 @@ def test_substrings_do_not_depend_on_the_split_of_files(spark, tmp_path):
         spark.conf.unset("spark.sql.files.minPartitionNum")
 
 
+def test_dedup_does_not_depend_on_the_split_of_files(spark, tmp_path):
+    """Rows are read several times; each read may be split otherwise."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(5000)]
+    passage = " ".join(rng.choices(words, k=60))
+    rows = [(g * 4 + i, f"{' '.join(random.Random(g).choices(words, k=80))} {passage}") for g in range(30) for i in range(4)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(12).write.parquet(str(tmp_path / "t"))
+    names = ("_row", "_key", "_cut", "cuts", "_doc", "_print", "n_words")
+    docs = spark.read.parquet(str(tmp_path / "t")).select("*", *[F.lit("own").alias(c) for c in names])
+    settings = {"spark.sql.files.minPartitionNum": "1", "spark.sql.files.openCostInBytes": "1"}
+    found = [simhash.keep_one(docs), line_dedup.dedup_passages(docs), line_dedup.dedup_lines(docs, min_words=20)]
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        kept, cut, lines = (df.collect() for df in found)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert sorted(r.doc_id for r in kept) == [4 * g for g in range(30)]
+    assert sum(passage in r.text for r in cut) == 1 and len(cut) == 120
+    assert sorted(r.doc_id for r in lines if r.text) == [4 * g for g in range(30)]
+    assert all(r[c] == "own" for r in (*kept, *cut, *lines) for c in names)
+
+
 # 12 conversation trie
 
 
