@@ -155,7 +155,7 @@ def dedup_lines(documents: DataFrame, key: str = "doc_id", min_words: int = MIN_
     columns = [c for c in documents.columns if c not in ("n_lines", "n_deleted")]
     rows = numbered(documents.select(*columns), key)
     marks = later_copies(rows.select("_key", "text", "_row"), "_key", min_words)
-    joined = rows.join(marks, "_row", "left")
+    joined = rows.select("_doc", "_row").join(marks, "_row", "left").select("_doc", "deleted", F.col("_doc.text").alias("text"))
     size = F.coalesce(F.size(F.split("text", "\n")), F.lit(0))
     text = _bound(F.split("text", "\n"), lambda all_lines: _without(all_lines, F.col("deleted")))
     n_deleted = F.coalesce(F.size("deleted"), F.lit(0))
@@ -298,7 +298,9 @@ def dedup_passages(documents: DataFrame, key: str = "doc_id", min_words: int = M
     def lines(value: Column) -> Column:
         return F.when(F.coalesce(F.length(value), F.lit(0)) > 0, F.length(value) - F.length(F.replace(value, F.lit("\n"), F.lit(""))) + 1).otherwise(0)
 
-    joined = rows.join(marks, "_row", "left").select("_doc", F.struct(lines(F.col("text")).alias("before"), text.alias("text")).alias("_cut"))
+    # the text goes through the shuffle once, inside its row
+    joined = rows.select("_doc", "_row").join(marks, "_row", "left").select("_doc", "cuts", F.col("_doc.text").alias("text"))
+    joined = joined.select("_doc", F.struct(lines(F.col("text")).alias("before"), text.alias("text")).alias("_cut"))
     changed = {"text": F.col("_cut.text")}
     before = F.col("_cut.before").cast("long")
     return joined.select(
