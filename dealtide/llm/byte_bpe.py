@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealtide.llm.common import WordTable, add_columns, gather, small_batches, table
+from dealtide.llm.common import WordTable, add_columns, gather, ragged, small_batches, table
 
 # Bytes of text in a block, at least; bytes of ids in an output batch, about.
 BLOCK, OUTPUT = 16 << 20, 8 << 20
@@ -100,7 +100,7 @@ class Block:
 
     def __init__(self) -> None:
         self.words: dict[str, int] = {}
-        self.spaced = WordTable(lambda found: [self.number(words_behind_space(c)) for c in found], 1 << 62)
+        self.spaced = WordTable(lambda found: ragged([self.number(words_behind_space(c)) for c in found]), 1 << 62)
 
     def number(self, words: list[str]) -> list[int]:
         return [self.words.setdefault(w, len(self.words)) for w in words]
@@ -191,7 +191,7 @@ def encode(documents: DataFrame, ranks: str, keep: tuple[str, ...] = ("doc_id",)
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoding(ranks)
-        known = WordTable(lambda new: coder.encode_ordinary_batch([w.decode("utf-8", "replace") for w in new], num_threads=1), _CACHE)
+        known = WordTable(lambda new: ragged(coder.encode_ordinary_batch([w.decode("utf-8", "replace") for w in new], num_threads=1)), _CACHE)
         for batch in batches:
             out = []
             for head, body in zip(batch.column("head").to_pylist(), batch.column("body").to_pylist(), strict=True):

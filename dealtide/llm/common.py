@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -91,13 +91,19 @@ def add_columns(
     return df.mapInArrow(run, out)
 
 
+def ragged(lists: list[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers in a row, and how many each list has."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())), sizes
+
+
 class WordTable:
     """Words of a task numbered as they come, each with a short array of ids; at most ``bound`` words.
 
-    ``encode`` gives the ids of new words. Memory is bounded: a full table starts anew.
+    ``encode`` gives the ids of new words, as ``ragged`` does. Memory is bounded: a full table starts anew.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list[Sequence[int]]], bound: int) -> None:
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], bound: int) -> None:
         self.encode, self.bound = encode, bound
         self.clear()
 
@@ -112,17 +118,15 @@ class WordTable:
             self.clear()
         first = len(self.place)
         self.place.update(zip(words, range(first, first + len(words)), strict=True))
-        found = self.encode(words)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        found, sizes = self.encode(words)
         ends = self.used + np.cumsum(sizes)
         while first + len(words) + 1 > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-        total = int(sizes.sum())
-        while self.used + total > len(self.flat):
+        while self.used + len(found) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        self.flat[self.used : self.used + len(found)] = found
         self.start[first + 1 : first + 1 + len(words)] = ends
-        self.used += total
+        self.used += len(found)
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         """The ids of all words in a row."""
@@ -130,13 +134,14 @@ class WordTable:
 
     def ids_by_word(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in a row, and how many each word has."""
-        fresh = [w for w in set(words) if w not in self.place]
+        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        fresh = list({words[i] for i in np.flatnonzero(at < 0)})
         if fresh:
             if len(self.place) + len(fresh) > self.bound:
                 fresh = list(set(words))
                 self.clear()
             self.add(fresh)
-        at = np.array([self.place[w] for w in words], np.int64)
+            at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
         size = self.start[at + 1] - self.start[at]
         return gather(self.flat, self.start[at], size), size
 

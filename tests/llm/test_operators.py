@@ -6,7 +6,8 @@ import base64
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
+from functools import lru_cache
 from zlib import crc32
 
 import duckdb
@@ -48,8 +49,13 @@ def texts(df):
 # 1 packing
 
 
+@lru_cache
+def tokenizer():
+    return Tokenizer.from_file(WORDS)
+
+
 def reference_ids(text):
-    return [*Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids, 1]
+    return [*tokenizer().encode(text or "", add_special_tokens=False).ids, 1]
 
 
 def test_packing_holds_each_id_once(stored):
@@ -79,15 +85,41 @@ def test_packing_of_nothing(none):
 
 
 def test_cutting_stock_covers_the_histogram():
-    demand = np.random.default_rng(1).integers(0, 40, 64).astype(float)
-    demand[40:] = 0
-    dealt = np.zeros(64, int)
-    for size, first, per, _, times in packing.plan(demand, 64):
-        assert first == dealt[size - 1]
-        dealt[size - 1] += per * times
-    assert (dealt == demand).all()
-    sequences = max(s + t for *_, s, t in packing.plan(demand, 64))
-    assert sequences <= 1.03 * (demand * np.arange(1, 65)).sum() / 64 + 1
+    demand = {size: int(n) for size, n in enumerate(np.random.default_rng(1).integers(1, 40, 40), 1)}
+    dealt = dict.fromkeys(demand, 0)
+    rows = packing.plan(demand, 64)
+    for size, first, per, _, times in rows:
+        assert first == dealt[size]
+        dealt[size] += per * times
+    assert dealt == demand
+    assert max(s + t for *_, s, t in rows) <= 1.03 * sum(size * n for size, n in demand.items()) / 64 + 1
+
+
+@pytest.mark.parametrize("low, high", [(2, 7), (5, 31), (20, 201), (2, 901)])
+def test_short_documents_are_packed_tightly(low, high):
+    sizes = np.random.default_rng(low).integers(low, high, 50_000).tolist()
+    unit = packing.grains(Counter(sizes))
+    rounded = Counter(s + -s % unit[packing.octave(s)] for s in sizes)
+    sequences = max(s + t for *_, s, t in packing.plan(rounded, 2048))
+    assert sum(sizes) > 0.97 * 2048 * (sequences - 1)
+
+
+def test_many_short_documents_fill_their_sequences(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANKED", 100)
+    documents = spark.range(6000).selectExpr("id AS doc_id", "concat('a b', if(id % 3 = 0, ' c', '')) AS text")
+    found = packing.pack(documents, WORDS).toPandas()
+    assert found.length.sum() == 6000 * 3 + 2000 and found.sequence_id.max() + 1 <= 11
+    for _, rows in found.groupby("sequence_id"):
+        rows = rows.sort_values("offset")
+        assert rows.offset.tolist() == [0, *np.cumsum(rows.length)[:-1]] and rows.length.sum() <= 2048
+
+
+def test_ids_are_those_of_the_tokenizer():
+    signs = [*"abcXYZéÉßÿþ ÷×µªº'st re\n\t\x0b\x1c\u00a0\u3000.,!?*_0129-<|>\u0301日ſKİक़", "<|endoftext|>", "'S", " 's", "don't"]
+    draw = random.Random(3)
+    found = ["".join(draw.choices(signs, k=draw.randint(0, 30))) for _ in range(5000)]
+    for text, ids in zip(found, packing.Encoder(WORDS).ids([t.encode() for t in found]), strict=True):
+        assert ids.tolist() == reference_ids(text), text
 
 
 def test_packing_leaves_little_padding(spark):
