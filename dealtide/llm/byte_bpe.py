@@ -1,9 +1,9 @@
 """Byte-level BPE over a global shuffle of distinct words, and its decoding.
 
-Texts are split into pre-tokens ("words") in blocks of neighbouring rows. A block keeps the
+Texts are split into pre-tokens ("words") in blocks of neighbouring rows. A block has the
 position list of each text as numbers of its distinct words, and sends each distinct word
 once to the task that owns the word's bucket. There each distinct word is encoded once, and
-its ids go back to all blocks that asked; a block then puts the ids in the places of its
+its ids go to all blocks that asked, where they meet the positions and are put in the places of their
 words. Words and positions travel packed and compressed, many to a row: one row per occurrence
 would be many times the input. The positions do not travel with the words, so a very
 frequent word is one entry per block, not a hot key.
@@ -21,16 +21,19 @@ from zlib import crc32
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from dealtide.llm.common import WordTable, add_columns, gather, ragged, small_batches, table
 
-# Bytes of text in a block, at least; bytes of ids in an output batch, about.
-BLOCK, OUTPUT = 16 << 20, 8 << 20
+# Bytes of text in a block, at least.
+BLOCK = 16 << 20
 # Encoded words that a task remembers at most, for words that come from several blocks.
 _CACHE = 500_000
 _SLICE = 1 << 20
@@ -132,7 +135,7 @@ def unpacked(data: bytes, count: int) -> list[np.ndarray]:
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block, list[pa.RecordBatch], list[np.ndarray]]]:
-    """(number, words, rows, places of each row) of each block; the same ones at every run over the same rows."""
+    """(number, words, rows, places of each row) of each block."""
     base = None
     block, rows, places, size = Block(), [], [], 0
     for batch in batches:
@@ -154,9 +157,8 @@ def encode(documents: DataFrame, ranks: str, keep: tuple[str, ...] = ("doc_id",)
     """``keep`` and ids (array<int>) of every row, as the ranks encode its whole text without special tokens.
 
     A null or empty text has no ids. Repeated rows and null keys stay rows of their own; other
-    columns are ignored; an empty table gives no rows. Rows are read twice, once for their
-    words and once for the positions: ``documents`` has to give the same rows in the same
-    partitions both times, as a table does. A check sum fails the task otherwise.
+    columns are ignored; an empty table gives no rows. Very long texts are read whole. Texts are read and split once: one shuffle takes
+    the words to their buckets and the positions to their block, where the ids join them.
     """
     spark = documents.sparkSession
     small_batches(spark)
@@ -165,34 +167,44 @@ def encode(documents: DataFrame, ranks: str, keep: tuple[str, ...] = ("doc_id",)
     # the number of the scan's own partition; a task's number differs below a union
     source = source.withColumn("_part", F.spark_partition_id())
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kept_shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in own)
-
-    def check(block: Block) -> int:
-        return crc32("\0".join(block.words).encode("utf-8", "surrogatepass"))
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, block, _, _ in blocks(batches):
-            found = [w.encode("utf-8", "surrogatepass") for w in block.words]
-            owner = np.fromiter((crc32(w) % buckets for w in found), np.int64, len(found))
-            order = np.argsort(owner, kind="stable")
-            edges = np.searchsorted(owner[order], np.arange(buckets + 1))
-            rows = []
-            for b in range(buckets):
-                places = order[edges[b] : edges[b + 1]]
-                if len(places):
-                    mine = [found[i] for i in places]
-                    sizes = np.array([len(w) for w in mine])
-                    body = packed(np.diff(places, prepend=0), sizes)
-                    rows.append((b, len(body), body + zstandard.ZstdCompressor(level=3).compress(b"".join(mine))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([number] * len(rows), pa.int64()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary()), pa.array([check(block)] * len(rows), pa.int64())],
-                names=["block", "bucket", "head", "body", "sum"],
-            )
+    own_shape = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema if f.name in own)
+    sent_shape = T._parse_datatype_string(f"{own_shape}target long, block long, head int, body binary")
+    out_shape = T._parse_datatype_string(f"{own_shape}ids array<int>")
+    sent_arrow, out_arrow = to_arrow_schema(sent_shape), to_arrow_schema(out_shape)
+
+    def asked(number: int, block: Block) -> pa.RecordBatch:
+        """The words of a block, a row for each bucket; buckets are targets below zero."""
+        found = [w.encode("utf-8", "surrogatepass") for w in block.words]
+        owner = np.fromiter((crc32(w) % buckets for w in found), np.int64, len(found))
+        order = np.argsort(owner, kind="stable")
+        edges = np.searchsorted(owner[order], np.arange(buckets + 1))
+        target, head, body = [], [], []
+        for b in np.flatnonzero(np.diff(edges)).tolist():
+            places = order[edges[b] : edges[b + 1]]
+            mine = [found[i] for i in places]
+            steps = packed(np.diff(places, prepend=0), np.array([len(w) for w in mine]))
+            target.append(-1 - b)
+            head.append(len(steps))
+            body.append(steps + zstandard.ZstdCompressor(level=3).compress(b"".join(mine)))
+        columns = [*([None] * len(target) for _ in own), target, [number] * len(target), head, body]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, sent_arrow, strict=True)], schema=sent_arrow)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, block, rows, found in blocks(batches):
+            yield asked(number, block)
+            at = 0
+            for batch in rows:
+                n = batch.num_rows
+                body = [packed(p) for p in found[at : at + n]]
+                at += n
+                columns = [*(batch.column(o) for o in own), [number] * n, [number] * n, [None] * n, body]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, sent_arrow, strict=True)], names=sent_arrow.names)
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoding(ranks)
         known = WordTable(lambda new: ragged(coder.encode_ordinary_batch([w.decode("utf-8", "replace") for w in new], num_threads=1)), _CACHE)
         for batch in batches:
+            batch = batch.select(["target", "block", "head", "body"]).filter(pc.less(batch.column("target"), 0))
             out = []
             for head, body in zip(batch.column("head").to_pylist(), batch.column("body").to_pylist(), strict=True):
                 steps, sizes = unpacked(body[:head], 2)
@@ -201,66 +213,29 @@ def encode(documents: DataFrame, ranks: str, keep: tuple[str, ...] = ("doc_id",)
                 found = [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
                 flat, counts = known.ids_by_word(found)
                 out.append(packed(steps, counts, flat))
-            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(out, pa.binary()), batch.column("sum")], names=["block", "body", "sum"])
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, block, rows, found in blocks(batches):
-            total = check(block)
-            at = 0
-            for batch in rows:
-                body = pa.array([packed(p) for p in found[at : at + batch.num_rows]], pa.binary())
-                at += batch.num_rows
-                columns = [batch.column(o) for o in own]
-                same = [pa.array([v] * batch.num_rows, pa.int64()) for v in (number, total)]
-                yield pa.RecordBatch.from_arrays([*columns, same[0], body, same[1]], names=[*own, "block", "body", "sum"])
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, counts, flat, start, total = None, [], [], np.zeros(1, np.int64), 0
-        ready = True
-        for batch in batches:
-            meta = zip(batch.column("block").to_pylist(), batch.column("kind").to_pylist(), batch.column("sum").to_pylist(), strict=True)
-            owner, out, held = [], [], 0
-            for i, (block, kind, mark) in enumerate(meta):
-                body = batch.column("body")[i].as_py()
-                if block != current:
-                    current, counts, flat, ready, total = block, [], [], False, mark
-                if mark != total:
-                    raise RuntimeError("the rows changed between two reads; write them to a table first")
-                if kind == 0:
-                    steps, sizes, values = unpacked(body, 3)
-                    counts.append((np.cumsum(steps, dtype=np.int64), sizes))
-                    flat.append(values)
-                    continue
-                if not ready:
-                    at = np.concatenate([c[0] for c in counts] or [np.zeros(0, np.int64)])
-                    size, values = np.zeros(len(at), np.int64), np.concatenate(flat or [np.zeros(0, np.uint32)])
-                    size[at] = np.concatenate([c[1] for c in counts] or [np.zeros(0, np.uint32)])
-                    began, sent = np.zeros(len(at), np.int64), np.concatenate([c[1] for c in counts] or [np.zeros(0, np.uint32)])
-                    began[at] = np.cumsum(sent, dtype=np.int64) - sent
-                    counts, flat, start, ready = [], [], began, True
-                place = unpacked(body, 1)[0]
-                owner.append(i)
-                out.append(gather(values, start[place], size[place]).astype(np.int32))
-                held += out[-1].nbytes
-                if held > OUTPUT:
-                    yield made(batch, owner, out)
-                    owner, out, held = [], [], 0
-            if owner:
-                yield made(batch, owner, out)
-
-    def made(batch: pa.RecordBatch, owner: list[int], out: list[np.ndarray]) -> pa.RecordBatch:
-        edges = np.cumsum([0, *map(len, out)])
-        lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.concatenate(out)))
-        rows = batch.select(own).take(pa.array(owner)) if own else None
-        return pa.RecordBatch.from_arrays([*(rows.columns if own else []), lists], names=[*own, "ids"])
-
-    asked = source.mapInArrow(words, "block long, bucket int, head int, body binary, sum long")
-    answers = asked.repartition(buckets, "bucket").mapInArrow(ids, "block long, body binary, sum long")
-    texts = source.mapInArrow(places, f"{kept_shape}{', ' if own else ''}block long, body binary, sum long")
-    answers = answers.select(*[F.lit(None).cast(source.schema[o].dataType).alias(o) for o in own], "block", "body", "sum", F.lit(0).alias("kind"))
-    both = answers.unionByName(texts.withColumn("kind", F.lit(1)))
-    met = both.repartition(buckets, "block").sortWithinPartitions("block", "kind")
-    joined = met.mapInArrow(join, f"{kept_shape}{', ' if own else ''}ids array<int>")
+            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(out, pa.binary())], names=["target", "answer"])
+
+    def put(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        """The ids of the texts of a block. Groups of words, which are targets below zero, have no texts."""
+        texts = texts.filter(pc.greater_equal(texts.column("target"), 0))
+        got = [unpacked(body, 3) for body in answers.column("answer").to_pylist()]
+        at = np.concatenate([np.zeros(0, np.int64), *(np.cumsum(steps, dtype=np.int64) for steps, _, _ in got)])
+        sent = np.concatenate([np.zeros(0, np.int64), *(sizes for _, sizes, _ in got)]).astype(np.int64)
+        values = np.concatenate([np.zeros(0, np.uint32), *(flat for _, _, flat in got)])
+        size, start = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        size[at], start[at] = sent, np.cumsum(sent) - sent
+        found = [np.zeros(0, np.int32)]
+        for body in texts.column("body").to_pylist():
+            place = unpacked(body, 1)[0]
+            found.append(gather(values, start[place], size[place]).astype(np.int32))
+        edges = pa.array(np.cumsum([len(f) for f in found]), pa.int32())
+        lists = pa.ListArray.from_arrays(edges, pa.array(np.concatenate(found)))
+        return pa.Table.from_arrays([*(texts.column(o) for o in own), lists], names=out_arrow.names)
+
+    # both readers below take the whole of this shuffle, so Spark runs it once
+    sent = source.mapInArrow(split, sent_shape).repartition(buckets, "target")
+    answers = sent.mapInArrow(ids, "target long, answer binary")
+    joined = sent.groupBy("target").cogroup(answers.groupBy("target")).applyInArrow(put, out_shape)
     return joined.select(*[F.col(o).alias(k) for k, o in zip(keep, own, strict=True)], "ids")
 
 
