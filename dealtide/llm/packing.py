@@ -44,8 +44,8 @@ _CLOSED = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _WORD_END = "</w>"
 # Patterns a size that the linear program tries at most.
 STEPS = 100
-# Pieces of one length that a task ranks, about.
-RANKED = 200_000
+# Pieces of one length that a task ranks, about, and the share of all pieces that this is at most.
+RANKED, SHARES = 200_000, 1000
 
 
 class Encoder:
@@ -305,7 +305,9 @@ def pack(documents: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id"
     for k, g in unit.items():
         of = F.when((F.col("length") < min(capacity, 2 << k)) & (F.col("length") >= 1 << k), F.least(F.lit(capacity), F.ceil(F.col("length") / g) * g)).otherwise(of)
     cut = cut.withColumn("_bin", of.cast("int"))
-    splits = [(b, -(-n // RANKED)) for b, n in [*demand.items(), (capacity + 1, whole)] if n]
+    # a share of all pieces at most, so that one frequent length is many tasks' work in small tables too
+    ranked_at_once = max(1, min(RANKED, (whole + sum(demand.values())) // SHARES))
+    splits = [(b, -(-n // ranked_at_once)) for b, n in [*demand.items(), (capacity + 1, whole)] if n]
     dealt = spark.createDataFrame(splits or [(0, 1)], "_bin int, _splits int")
     cut = cut.join(F.broadcast(dealt), "_bin").withColumn("_split", F.pmod("_deal", "_splits")).drop("_splits")
     counts = fold(cut.groupBy("_bin", "_split").count(), "histogram")
@@ -314,7 +316,7 @@ def pack(documents: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id"
     before = Window.partitionBy("_bin").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
     within = Window.partitionBy("_bin", "_split").orderBy("_deal", "start", "ids_crc32", *own)
-    # one row per length and ``RANKED`` pieces, and one interval per length and pattern
+    # one row per length, per ``RANKED`` pieces and per share, and one interval per length and pattern
     ranked = cut.withColumn("_row", F.row_number().over(within)).join(F.broadcast(starts), ["_bin", "_split"])
     ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_row") - 1).drop("_before", "_row", "_split", "_deal")
     intervals = spark.createDataFrame(rows, "_bin int, first long, per long, sequence long, times long")
