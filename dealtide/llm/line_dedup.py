@@ -1,19 +1,21 @@
-"""Line deduplication: repeated passages found by seeds, and repeated runs of whole lines by prefix doubling; later copies deleted.
+"""Line deduplication: a suffix array over line ids by prefix doubling; later copies of repeated runs are deleted.
 
-Passages (``dedup_passages``, which the query and the pipeline use) begin and end anywhere in a line. Each
-window of ``min_words`` words has a seed, the least hash of the short runs of words in it. Neighbours with one
-seed are one row. Rows whose seed occurs once have no equal window; the others are compared.
-
-Whole lines (``dedup_lines``): the corpus is one sequence of line ids, broken at the ends of documents. Prefix doubling names
-the runs of 1, 2, 4, ... lines by pairs of names of half the length, over all documents at once;
-equal runs get the same name, which is the place of one of them. Runs that occur once leave
-after each round. Two names that overlap identify a run of any length, so the suffixes that
-share a prefix of at least ``min_words`` words, an interval of the suffix array of at least
-that common-prefix length, are one group. Its first place stays, the others are deleted.
+Runs (``dedup_lines``, which the query and the pipeline use): the corpus is one sequence of line ids, broken at the ends of
+documents. A line may be cut further, into sentences, so that a passage inside a line is found by the whole sentences in
+it; below, a line is such a part. A line that occurs once parts the sequence, and islands with too few words go at once.
+Prefix doubling names the runs of 1, 2, 4, ... lines by pairs of names of half the length, over all documents at once;
+equal runs get the same name, which is the place of one of them: the suffix array's order up to ties, without the order
+of the groups. Runs that occur once leave after each round. Two names that overlap identify a run of any length, so the
+suffixes that share a prefix of at least ``min_words`` words, an interval of the suffix array of at
+least that common-prefix length, are one group. Its first place stays, the others are deleted.
 
 Of all repeated runs the shortest ones with ``min_words`` words, from each line onwards and
 from each line backwards, are looked at. Together they cover every maximal repeated run.
 
+Passages (``dedup_passages``, dearer) are cut to the word. Each window of ``min_words`` words has a seed, the least hash of
+the short runs of words in it. Neighbours with one seed are one row. Rows whose seed occurs once have no equal window; the
+others are compared.
+
 Everything is a DataFrame expression.
 """
 
@@ -25,22 +27,36 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dealtide.llm.common import fold, numbered, table
+from dealtide.llm.common import dealt_join, fold, numbered, table
 
 MIN_WORDS = 50
+# Words of whole sentences in a repeated run: a passage of 50 words that begins and ends inside of sentences holds some more.
+MIN_SENTENCE_WORDS = 25
+# Places where a sentence ends within a line.
+SENTENCE = r"(?<=[.!?][\x20\t]|[。！？])"
 _WORD = r"[^\x20\x09-\x0D]+"
 _WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
 # Words of the short runs whose least hash is a seed.
 UNIT = 8
 
 
-def _lines(text: Column) -> Column:
-    """The lines with a word: line number in the text, two hashes, words."""
-    numbered = F.transform(
-        F.split(text, "\n"),
-        lambda line, i: F.struct(i.alias("raw"), F.xxhash64(line).alias("h"), F.hash(line).alias("g"), F.regexp_count(line, F.lit(_WORD)).alias("words")),
-    )
-    return F.filter(numbered, lambda x: x["words"] > 0)
+def _parts(text: Column, cut: str | None) -> Column:
+    """The lines of a text, or what a cut leaves of them: number of the line, part."""
+
+    def of(line: Column, i: Column) -> Column:
+        return F.transform(F.split(line, cut) if cut else F.array(line), lambda part: F.struct(i.alias("row"), part.alias("part")))
+
+    return F.flatten(F.transform(F.split(text, "\n"), of))
+
+
+def _lines(text: Column, cut: str | None) -> Column:
+    """The lines with a word: two hashes of what is between outer white space, words."""
+
+    def line(x: Column) -> Column:
+        bare = F.trim(x["part"], F.lit(_WHITE))
+        return F.struct(F.xxhash64(bare).alias("h"), F.hash(bare).alias("g"), F.regexp_count(bare, F.lit(_WORD)).alias("words"))
+
+    return F.filter(F.transform(_parts(text, cut), line), lambda x: x["words"] > 0)
 
 
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -48,73 +64,76 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _reach(values: Column, least: int) -> Column:
-    """For each line how many lines from it onwards hold ``least`` words; null if there are too few."""
+def repeated(places: DataFrame, by: list[str]) -> DataFrame:
+    """``places`` whose value of ``by`` occurs more than once, with the first of these places as name_row, name_line instead of ``by``.
 
-    def count(words: Column, i: Column) -> Column:
-        start = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n"))
-        grown = F.aggregate(
-            F.slice(words, i + 1, F.lit(least)),
-            start,
-            lambda a, w: F.when(a["sum"] >= least, a).otherwise(F.struct((a["sum"] + w).alias("sum"), (a["n"] + 1).alias("n"))),
-        )
-        return F.when(grown["sum"] >= least, grown["n"])
+    The names are aggregated before the shuffle, and frequent values are dealt out in the join back.
+    """
+    place = F.struct("_row", "line")
+    names = places.groupBy(*by).agg(F.min(place).alias("name"), F.count("*").alias("n")).where("n > 1")
+    names = fold(names.select(*by, F.col("name._row").alias("_to"), F.col("name.line").alias("_at"), "n"), "names")
+    found = dealt_join(places, names, by, F.xxhash64("_row", "line"), "n", None)
+    return found.drop(*by, "n").withColumnsRenamed({"_to": "name_row", "_at": "name_line"})
 
-    return _bound(values, lambda words: F.transform(words, lambda _, i: count(words, i)))
 
+def islands(lines: DataFrame, least: int) -> DataFrame:
+    """(_key, _row, line, name_row, name_line, ahead, behind): repeated lines in stretches of ``least`` words or more of such lines.
 
-def numbered_lines(documents: DataFrame, key: str, least: int) -> DataFrame:
-    """(_key, _row, line, h, g, ahead, behind): one row per line with a word, by its number among these."""
-    words = F.transform("_all", lambda x: x["words"])
-    both = documents.select(F.col(key).alias("_key"), "_row", _lines(F.col("text")).alias("_all")).select(
+    ahead and behind: how many lines onwards and backwards hold ``least`` words; null if there are too few.
+    """
+    text = Window.partitionBy("_row").orderBy("line")
+    apart = repeated(lines, ["h", "g"]).withColumn("island", F.col("line") - F.row_number().over(text))
+    island = Window.partitionBy("_row", "island")
+    until = F.sum("words").over(island.orderBy("line").rowsBetween(Window.unboundedPreceding, 0))
+    found = apart.withColumn("until", until).withColumn("first", F.col("until") - F.col("words"))
+    found = found.withColumn("total", F.max("until").over(island)).where(F.col("total") >= least)
+    ahead = F.count("*").over(island.orderBy("first").rangeBetween(0, least - 1))
+    behind = F.count("*").over(island.orderBy("until").rangeBetween(1 - least, 0))
+    return found.select(
         "_key",
         "_row",
-        "_all",
-        _reach(words, least).alias("_ahead"),
-        F.reverse(_reach(F.reverse(words), least)).alias("_behind"),
+        "line",
+        "name_row",
+        "name_line",
+        F.when(F.col("first") + least <= F.col("total"), ahead).cast("int").alias("ahead"),
+        F.when(F.col("until") >= least, behind).cast("int").alias("behind"),
     )
-    zipped = F.transform("_all", lambda x, i: F.struct(x["h"].alias("h"), x["g"].alias("g"), F.get("_ahead", i).alias("ahead"), F.get("_behind", i).alias("behind")))
-    return both.select("_key", "_row", F.posexplode(zipped).alias("line", "x")).select("_key", "_row", "line", "x.h", "x.g", "x.ahead", "x.behind")
-
 
-def repeated_names(places: DataFrame, by: list[str]) -> DataFrame:
-    """(_row, line, name) of the places whose value of ``by`` occurs more than once; the name is one such place.
-
-    The names are aggregated before the shuffle; a hot value in the join back is a skewed
-    partition of a plain join, which AQE splits.
-    """
-    place = F.struct("_row", "line")
-    names = places.groupBy(*by).agg(F.min(place).alias("name"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return places.join(names, by).select("_row", "line", F.col("name._row").alias("name_row"), F.col("name.line").alias("name_line"))
 
-
-def doubled(lines: DataFrame, least: int) -> DataFrame:
-    """(level, _row, line, name_row, name_line): names of the repeated runs of 2^level lines."""
-    names = fold(repeated_names(lines, ["h", "g"]), "runs")
+def doubled(lines: DataFrame, longest: int) -> DataFrame:
+    """(level, _row, line, name_row, name_line): names of the repeated runs of 2^level lines, up to ``longest`` lines."""
+    names = lines.select("_row", "line", "name_row", "name_line")
     levels, level = [names.withColumn("level", F.lit(0))], 0
-    # a run of ``least`` words has at most ``least`` lines with a word
-    while 2 ** (level + 1) <= least:
+    while 2 ** (level + 1) <= longest:
         step = 2**level
         here = Window.partitionBy("_row").orderBy("line").rangeBetween(step, step)
         pairs = names.withColumn("next", F.first(F.struct("name_row", "name_line")).over(here)).where("next IS NOT NULL")
-        pairs = pairs.select("_row", "line", "name_row", "name_line", F.col("next.name_row").alias("next_row"), F.col("next.name_line").alias("next_line"))
-        names = fold(repeated_names(pairs, ["name_row", "name_line", "next_row", "next_line"]), "runs")
+        pairs = pairs.select(
+            "_row",
+            "line",
+            F.col("name_row").alias("this_row"),
+            F.col("name_line").alias("this_line"),
+            F.col("next.name_row").alias("next_row"),
+            F.col("next.name_line").alias("next_line"),
+        )
+        names = fold(repeated(fold(pairs, "pairs"), ["this_row", "this_line", "next_row", "next_line"]), "runs")
         level += 1
         levels.append(names.withColumn("level", F.lit(level)))
-        if names.isEmpty():
-            break
     return reduce(DataFrame.unionByName, levels)
 
 
-def later_copies(documents: DataFrame, key: str, least: int) -> DataFrame:
+def later_copies(documents: DataFrame, key: str, least: int, cut: str | None) -> DataFrame:
     """(_row, deleted): the numbers, among the lines with a word, of the lines to delete.
 
     ``documents`` has the columns key, text and _row, a number of the row.
     """
-    lines = fold(numbered_lines(documents, key, least), "lines")
-    names = doubled(lines, least)
-    onwards = lines.where("ahead IS NOT NULL").select("_key", "_row", F.col("line").alias("first"), F.col("ahead").alias("size"))
-    backwards = lines.where("behind IS NOT NULL").select("_key", "_row", (F.col("line") - F.col("behind") + 1).alias("first"), F.col("behind").alias("size"))
+    lines = documents.select(F.col(key).alias("_key"), "_row", F.posexplode(_lines(F.col("text"), cut)).alias("line", "x"))
+    lines = fold(lines.select("_key", "_row", "line", "x.*"), "lines")
+    apart = fold(islands(lines, least), "islands")
+    longest = apart.agg(F.max(F.greatest("ahead", "behind"))).first()[0] or 0
+    names = doubled(apart, longest)
+    onwards = apart.where("ahead IS NOT NULL").select("_key", "_row", F.col("line").alias("first"), F.col("ahead").alias("size"))
+    backwards = apart.where("behind IS NOT NULL").select("_key", "_row", (F.col("line") - F.col("behind") + 1).alias("first"), F.col("behind").alias("size"))
     level = F.floor(F.log2("size")).cast("int")
     runs = onwards.union(backwards).distinct().withColumn("level", level)
     runs = runs.withColumn("last", (F.col("first") + F.col("size") - F.expr("shiftleft(1, level)")).cast("int"))
@@ -126,38 +145,51 @@ def later_copies(documents: DataFrame, key: str, least: int) -> DataFrame:
     place = F.struct("_key", "_row", "first")
     kept = known.groupBy(*group).agg(F.min(place).alias("kept"), F.count("*").alias("n")).where("n > 1")
     later = (F.col("kept._row") != F.col("_row")) | (F.col("kept.first") + F.col("size") <= F.col("first"))
-    copies = known.join(kept, group).where(later)
+    copies = dealt_join(known, fold(kept, "kept"), group, F.xxhash64("_row", "first"), "n", None).where(later)
     gone = copies.select("_row", F.explode(F.sequence("first", F.col("first") + F.col("size") - 1)).alias("line"))
     # a text has as many entries as lines
     return gone.groupBy("_row").agg(F.collect_set("line").alias("deleted"))
 
 
-def _without(all_lines: Column, deleted: Column) -> Column:
-    """The text without the lines whose numbers, among those with a word, are in ``deleted``."""
-    numbered = F.transform(all_lines, lambda line, i: F.when(F.rlike(line, F.lit(_WORD)), i))
-    worded = F.filter(numbered, lambda i: i.isNotNull())
+def _without(parts: Column, deleted: Column) -> Column:
+    """The text without the parts whose numbers, among those with a word, are in ``deleted``. Lines that lose all parts go."""
+    numbers = F.transform(parts, lambda x, i: F.when(F.rlike(x["part"], F.lit(_WORD)), i))
+    worded = F.filter(numbers, lambda i: i.isNotNull())
     gone = _bound(worded, lambda raw: F.transform(deleted, lambda i: F.element_at(raw, i + 1)))
-    left = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), gone)
-    return F.array_join(F.transform(left, lambda i: F.element_at(all_lines, i + 1)), "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone)
+
+    def joined(left: Column) -> Column:
+        def tidy(n: Column, k: Column) -> Column:
+            here, row = F.get(parts, n)["part"], F.get(parts, n)["row"]
+            parted = (k > 0) & (F.get(parts, F.get(left, k - 1))["row"] != row)
+            # the last part that is left of a line whose end went
+            ends = (F.get(parts, n + 1)["row"] == row) & ~F.coalesce(F.get(parts, F.get(left, k + 1))["row"] == row, F.lit(False))
+            return F.concat(F.when(parted, "\n").otherwise(""), F.when(ends, F.rtrim(here, F.lit(_WHITE))).otherwise(here))
+
+        return F.array_join(F.transform(left, tidy), "")
+
+    return _bound(left, joined)
 
 
-def dedup_lines(documents: DataFrame, key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(documents: DataFrame, key: str = "doc_id", min_words: int = MIN_WORDS, cut: str | None = None) -> DataFrame:
     """``documents`` without later copies of repeated runs of lines, with n_lines and n_deleted.
 
     A line is deleted if it lies in a run of whole lines of one document, with ``min_words``
     words or more, that also occurs before: in a row with a smaller key (then in table order), or
-    earlier in the text without overlap. Lines without a word stay and do not part a run. A text
-    whose lines all go becomes empty; null and empty texts stay as they are with 0 lines. Null
+    earlier in the text without overlap. Lines are compared without the white space around them. ``cut``, a pattern of the
+    places where a line is parted further (``SENTENCE``), makes these parts the lines that are compared, deleted and counted in n_deleted;
+    n_lines counts lines as they are. Lines without a word stay and part no run. A text
+    whose lines all go becomes empty; null and empty texts stay as they are with 0 lines. Very long texts are read whole. Null
     keys count as smallest; repeated rows are copies of each other. Input columns n_lines and
     n_deleted are replaced, all others stay, whatever their names. An empty table stays empty. Rows are numbered and written once, so
     ``documents`` may be split otherwise when it is read again; equal keys are ordered by these numbers.
     """
     columns = [c for c in documents.columns if c not in ("n_lines", "n_deleted")]
     rows = numbered(documents.select(*columns), key)
-    marks = later_copies(rows.select("_key", "text", "_row"), "_key", min_words)
+    marks = later_copies(rows.select("_key", "text", "_row"), "_key", min_words, cut)
     joined = rows.select("_doc", "_row").join(marks, "_row", "left").select("_doc", "deleted", F.col("_doc.text").alias("text"))
-    size = F.coalesce(F.size(F.split("text", "\n")), F.lit(0))
-    text = _bound(F.split("text", "\n"), lambda all_lines: _without(all_lines, F.col("deleted")))
+    size = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    text = _bound(_parts(F.col("text"), cut), lambda parts: _without(parts, F.col("deleted")))
     n_deleted = F.coalesce(F.size("deleted"), F.lit(0))
     changed = {"text": F.when(F.col("deleted").isNull(), F.col("text")).otherwise(text)}
     counted = F.when(F.coalesce(F.length("text"), F.lit(0)) > 0, size).otherwise(0)
@@ -309,4 +341,5 @@ def dedup_passages(documents: DataFrame, key: str = "doc_id", min_words: int = M
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs, min_words=MIN_SENTENCE_WORDS, cut=SENTENCE)

@@ -571,10 +571,37 @@ def test_line_dedup_against_brute_force(spark, tmp_path):
         assert sorted((str(r.doc_id), str(r.text)) for r in found.collect()) == brute_lines(rows, least)
 
 
+def test_runs_of_sentences_inside_lines(spark, tmp_path):
+    passage = " ".join(" ".join(f"p{i}x{j}" for j in range(10)) + "." for i in range(6))
+    rows = [
+        (1, f"Own words here. {passage} behind it."),
+        (2, f"  other\nEnd of a line. {passage}\nlast \n"),
+        (3, passage.replace(". ", ".\n")),
+        (4, f"own\nbegin of p0x9. {passage} More.\n\nrest"),
+        (5, f"{passage[passage.index('p0x5') :]} tail! x"),
+        (6, "kept  as it is. "),
+        (7, None),
+        (8, passage[: passage.index("p2x0")]),
+    ]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    found = line_dedup.dedup_lines(spark.read.parquet(str(tmp_path / "t")), min_words=25, cut=line_dedup.SENTENCE)
+    assert {r.doc_id: (r.text, r.n_lines, r.n_deleted) for r in found.collect()} == {
+        1: (rows[0][1], 1, 0),
+        2: ("  other\nEnd of a line.\nlast \n", 4, 6),
+        3: ("", 6, 6),
+        4: ("own\nbegin of p0x9. More.\n\nrest", 4, 6),
+        5: ("p0x5 p0x6 p0x7 p0x8 p0x9. tail! x", 1, 5),
+        6: (rows[5][1], 1, 0),
+        7: (None, 0, 0),
+        8: (rows[7][1], 1, 0),
+    }
+
+
 def test_line_dedup_of_odd_rows(stored, none):
-    found = line_dedup.dedup_lines(stored)
-    assert found.columns == [*stored.columns, "n_lines", "n_deleted"] and found.count() == 12
-    assert line_dedup.dedup_lines(none).count() == 0
+    for cut in (None, line_dedup.SENTENCE):
+        found = line_dedup.dedup_lines(stored, cut=cut)
+        assert found.columns == [*stored.columns, "n_lines", "n_deleted"] and found.count() == 12
+        assert line_dedup.dedup_lines(none, cut=cut).count() == 0
 
 
 def brute_passages(rows, least):
