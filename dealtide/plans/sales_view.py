@@ -8,22 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from dealtide.functions.columns import MONEY
 
 LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
-_schemas: dict[str, StructType] = {}
-
-
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Scan of a stored table; its footers are read for the schema only the first time."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """Scan of a stored table, with the schema it has now."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def sales_from_orders(spark: SparkSession, folder: str) -> DataFrame:

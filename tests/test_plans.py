@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from dealtide.operators import explore, runlog
 from dealtide.plans import dashboard, marts, star
 from dealtide.plans.loads import BROKEN, BUILT_FROM, DIMENSIONS, REJECTED, Lake
+from dealtide.plans.sales_view import read_table
 from dealtide.scratch import materialize
 from dealtide.session import shuffle_partitions
 from dealtide.sinks import jdbc
@@ -543,3 +544,12 @@ def test_database_options():
     assert jdbc.upsert_statement("t", "s", ["id"], "id").endswith("DO NOTHING")
     with pytest.raises(ValueError):
         jdbc.sql_column_types(T.StructType([T.StructField("a", T.ArrayType(T.LongType()))]))
+
+
+def test_a_rewritten_table_is_read_with_its_new_columns(spark, tmp_path):
+    path = str(tmp_path / "region.parquet")
+    spark.range(2).write.parquet(path)
+    assert read_table(spark, str(tmp_path), "region").columns == ["id"]
+    spark.range(3).withColumn("name", F.lit("x")).write.mode("overwrite").parquet(path)
+    rewritten = read_table(spark, str(tmp_path), "region")
+    assert rewritten.columns == ["id", "name"] and rewritten.count() == 3
