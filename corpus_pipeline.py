@@ -37,8 +37,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of passages; n_chars, if there, follows the text."""
-    found = line_dedup.dedup_passages(docs)
+    """Documents without later copies of runs of lines, by prefix doubling; n_chars, if there, follows the text."""
+    found = line_dedup.dedup_lines(docs)
     size = F.length("text").cast("long")
     return found.select(*[size.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 

@@ -1,6 +1,6 @@
 """Line deduplication: a suffix array over line ids by prefix doubling; later copies of repeated runs are deleted.
 
-Runs (``dedup_lines``, which the query uses): the corpus is one sequence of line ids, broken at the ends of
+Runs (``dedup_lines``, which the query and the pipeline use): the corpus is one sequence of line ids, broken at the ends of
 documents. A line may be cut further, into sentences, so that a passage inside a line is found by the whole sentences in
 it, at several times the cost; below, a line is such a part. A line that occurs once parts the sequence, and islands with too few words go at once.
 Prefix doubling names the runs of 1, 2, 4, ... lines by pairs of names of half the length, over all documents at once;
@@ -12,7 +12,7 @@ least that common-prefix length, are one group. Its first place stays, the other
 Of all repeated runs the shortest ones with ``min_words`` words, from each line onwards and
 from each line backwards, are looked at. Together they cover every maximal repeated run.
 
-Passages (``dedup_passages``, which the pipeline uses) are cut to the word. Each window of ``min_words`` words has a seed, the least hash of
+Passages (``dedup_passages``, for callers who want them) are cut to the word. Each window of ``min_words`` words has a seed, the least hash of
 the short runs of words in it. Neighbours with one seed are one row. Rows whose seed occurs once have no equal window; the
 others are compared.
 
