@@ -368,6 +368,30 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(toxic) > 0.75 * len(toxic) and sum(clean) < 0.02 * len(clean)
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{j}" for j in rng.integers(0, 300, 30)) + (" vile" if i % 9 == 0 and i % 7 else ""), int(i % 9 == 0)) for i in range(1500)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    seen = []
+    begun = toxicity.Fit.begun
+    monkeypatch.setattr(toxicity.Fit, "begun", staticmethod(lambda held, sizes, rng: seen.append((held, sizes)) or begun(held, sizes, rng)))
+    languages = language_id.train(docs.limit(0).withColumn("lang", F.lit("x")))
+    network = toxicity.train(docs, labels, languages, shard_rows=100)  # seven shards, whose weights are averaged
+    known = [r for r in rows if crc32(str(r[0]).encode()) % 3 != 1]
+    words = [toxicity.hashed_words(t.encode(), {}) for _, t, _ in known]
+    y = np.array([r[2] for r in known], float)
+    fits = np.array([crc32(f"fit{r[0]}".encode()) % 4 > 0 for r in known])
+    # counts of all rows
+    assert seen[0][1].tolist() == [(y[fits] == 0).sum(), (y[fits] == 1).sum()]
+    assert (seen[0][0] == toxicity.held_buckets([w for w, f in zip(words, fits, strict=True) if f], y[fits])).all()
+    # the threshold of all rows that fit no weights, by trying all
+    raw, y = network.raw([w for w, f in zip(words, fits, strict=True) if not f]), y[~fits]
+    best = max(2 * y[raw >= c].sum() / ((raw >= c).sum() + y.sum()) for c in raw)
+    assert abs(2 * y[raw >= network.cuts[""]].sum() / ((raw >= network.cuts[""]).sum() + y.sum()) - best) < 1e-9
+    assert best > 0.8
+
+
 def test_classifiers_on_odd_rows(spark, stored, none):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (3, None, None), (4, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
     clash = stored.withColumn("predicted", F.lit("x"))
