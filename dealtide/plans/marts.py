@@ -397,6 +397,22 @@ LEAD_SCORING_ANY_WON = Mart(
 SALES_MARTS = (SALES_SUMMARY, REGION_SUMMARY, PERFORMANCE, FUNNEL, TRENDS, LEAD_SCORING)
 
 
+def _packed(df: DataFrame, column: str) -> Column:
+    """A key for a shuffle: 32 hexadecimal digits, as of an md5, take half the bytes. Other texts and types stay what they are."""
+    key = F.col(column)
+    if df.schema[column].dataType.simpleString() != "string":
+        return key
+    digest = F.concat(F.lit(b"\x01"), F.unhex(key))
+    return F.when(key.rlike("^[0-9a-f]{32}\\z"), digest).otherwise(F.concat(F.lit(b"\x00"), key.cast("binary")))
+
+
+def _unpacked(column: str, kind: str) -> Column:
+    if kind != "string":
+        return F.col(column)
+    value = F.substr(F.col(column), F.lit(2))
+    return F.when(F.substr(F.col(column), F.lit(1), F.lit(1)) == F.lit(b"\x01"), F.lower(F.hex(value))).otherwise(value.cast("string"))
+
+
 def summary_of_normalized(
     opportunities: DataFrame,
     salespeople: DataFrame,
@@ -405,24 +421,29 @@ def summary_of_normalized(
 ) -> DataFrame:
     """Salesperson x region x segment from the four related tables.
 
-    Opportunities are summed per salesperson and lead before they meet these two
-    tables, so a salesperson or lead with very many opportunities arrives there as few
-    rows. Every date row they match counts, as in a plain join of all four.
+    Opportunities meet their lead first, in the only shuffle of all of them: pairs of a salesperson and a lead hardly repeat, so sums by
+    these would save nothing. AQE splits a lead with very many. Each task then sums by salesperson, region and segment, and few rows meet
+    the salespeople. Every row of a table that an opportunity matches counts, as in a plain join of all four.
     """
     amounts = (FORECAST, WEIGHTED)
     flags = ("closed_opportunity", "active_opportunity")
+    kinds = {c: opportunities.schema[c].dataType.simpleString() for c in ("salesperson_id", "lead_id")}
+    sold = opportunities.join(dates.select("date_id"), "date_id").select(
+        *[_packed(opportunities, c).alias(c) for c in kinds], F.col("opportunity_id").isNotNull().alias("_known"), *amounts, *flags
+    )
+    places = leads.select(_packed(leads, "lead_id").alias("lead_id"), "region", "segment")
     partial = (
-        opportunities.join(dates.select("date_id"), "date_id")
-        .groupBy("salesperson_id", "lead_id")
+        sold.join(places, "lead_id")
+        .groupBy("salesperson_id", "region", "segment")
         .agg(
-            F.count("opportunity_id").alias("_n"),
+            F.count_if("_known").alias("_n"),
             *[F.sum(c).alias(f"_{c}") for c in amounts],
             *[F.count_if(c).alias(f"_{c}") for c in flags],
         )
+        .withColumn("salesperson_id", _unpacked("salesperson_id", kinds["salesperson_id"]))
     )
     return (
-        partial.join(leads.select("lead_id", "region", "segment"), "lead_id")
-        .join(salespeople.select("salesperson_id", "salesperson"), "salesperson_id")
+        partial.join(salespeople.select("salesperson_id", "salesperson"), "salesperson_id")
         .groupBy("salesperson_id", "salesperson", "region", "segment")
         .agg(
             F.sum("_n").alias("total_opportunities"),
