@@ -13,6 +13,9 @@ from dealtide.scratch import materialize
 # partition in the lower 33 bits and the partition number above them.
 _PLACE_BITS = 33
 
+# Rows are counted by so many values of a hash, to find those that may have more copies than that.
+_BINS = 1 << 16
+
 # Copies of a row up to this many are numbered one by one where they lie; more are numbered as one row first.
 COPIES = 1 << 20
 
@@ -47,8 +50,9 @@ def number_rows(
     Only that list of partition sizes, one row per partition, meets in one task and is
     broadcast.
 
-    Unless rows are known to be unique, equal ones are counted first, which each task does for its share,
-    and are told out again behind the sort. A row with more than ``copies`` copies stays one row until
+    Unless rows are known to be unique, those that may have more than ``copies`` copies are found first: rows are counted by bins of
+    a hash, and only rows of bins with more are counted as they are, which each task does for its share; they
+    are told out again behind the sort. All others go through one shuffle. A row with more than ``copies`` copies stays one row until
     all have their numbers; its copies are then dealt out in blocks. There are few such rows, and they
     are part of the broadcast list.
     """
@@ -59,7 +63,13 @@ def number_rows(
     else:
         given = {c for c in order_by if isinstance(c, str)}
         keys += [F.col(f"`{c}`") for c in names if c not in given]
-        counted = df.groupBy(*[F.col(f"`{c}`") for c in names]).agg(F.count(F.lit(1)).alias("_n"))
+        columns = [F.col(f"`{c}`") for c in names]
+        of = F.pmod(F.xxhash64(*columns), F.lit(_BINS))
+        full = [r[0] for r in df.groupBy(of.alias("_bin")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > copies).collect()]
+        counted = df.select(*columns, F.lit(1).cast("bigint").alias("_n"))
+        if full:
+            often = df.where(of.isin(full)).groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+            counted = counted.where(~of.isin(full)).unionByName(often)
         ordered = counted.repartitionByRange(*keys).sortWithinPartitions(*keys)
         few = F.col("_n") <= copies
         # a generator keeps the order of the rows it tells out
