@@ -15,7 +15,7 @@ from dealtide.plans import dashboard, marts, star
 from dealtide.plans.loads import BROKEN, FACT, REJECTED, Lake
 from dealtide.plans.sales_view import LINE_KEY, normalized_from_sales, read_table, sales_from_orders
 from dealtide.plans.silver import to_silver
-from dealtide.scratch import materialize, scratch_path
+from dealtide.scratch import folder_exists, materialize, scratch_path
 from dealtide.sinks.files import export_reports, write_csv, write_parquet
 from dealtide.sources import catalog
 from dealtide.sources.catalog import SALES_FILE_COLUMNS
@@ -320,14 +320,15 @@ def drop_rename(spark, folder):
     )
 
 
-def _raw_sales(sales: DataFrame) -> DataFrame:
-    """The sales under the column names and in the layouts of the raw file."""
+def _raw_sales(sales: DataFrame, *more: str) -> DataFrame:
+    """The sales under the column names and in the layouts of the raw file, and some columns as they are."""
     text_dates = {"sale_date", "target_close"}
     return sales.select(
         [
             (F.date_format(new, "M/d/yyyy") if new in text_dates else F.col(new)).alias(raw)
             for raw, (_, new) in SALES_FILE_COLUMNS.items()
         ]
+        + list(more)
     )
 
 
@@ -558,14 +559,22 @@ def stream_available_now(spark, folder):
     return table.read()
 
 
+def _two_exports(sales: DataFrame, change: Callable[[DataFrame], DataFrame] = lambda raw: raw) -> tuple[str, str]:
+    """Paths of two exports of the sales file: the earlier sales, and all. They are written once, the second path takes in the files of the first."""
+    spark, path = sales.sparkSession, scratch_path(sales.sparkSession, "export")
+    later = ~F.coalesce(F.col("sale_date") <= F.lit(CUT).cast("date"), F.lit(False))
+    raw = change(_raw_sales(sales.withColumn("late", later), "late"))
+    write_csv(raw, path, partition_by=["late"], codec="gzip")
+    for side in ("late=false", "late=true"):
+        if not folder_exists(spark, f"{path}/{side}"):
+            write_csv(spark.createDataFrame([], raw.drop("late").schema), f"{path}/{side}")
+    return f"{path}/late=false", f"{path}/late=*"
+
+
 def _lake_of_two_loads(spark: SparkSession, folder: str, build: Callable[[Lake], object]) -> Lake:
     """Two exports of the sales file, the earlier sales and all, through bronze and silver; gold is built after each."""
-    sales = _stored_sales(spark, folder)
-    first, second = scratch_path(spark, "export-1"), scratch_path(spark, "export-2")
-    write_csv(_raw_sales(sales.where(F.col("sale_date") <= F.lit(CUT).cast("date"))), first)
-    write_csv(_raw_sales(sales), second)
     lake = Lake(spark, scratch_path(spark, "lake"))
-    for path in (first, second):
+    for path in _two_exports(sales_from_orders(spark, folder)):
         lake.ingest(catalog.SALES, path)
         lake.refine(catalog.SALES)
         build(lake)
@@ -637,14 +646,11 @@ def lake_dim_lead(spark, folder):
 @query
 def lake_rejected(spark, folder):
     """Rows that the rules of silver reject in two exports of the sales file, each once."""
-    sales = _stored_sales(spark, folder)
+    sales = sales_from_orders(spark, folder)
     known = F.when((F.col("region") != "EUROPE") | (F.col("opportunity_stage") != "Lead"), F.col("lead_name"))
     sales = sales.withColumn("lead_name", known)
-    first, second = scratch_path(spark, "export-1"), scratch_path(spark, "export-2")
-    write_csv(_raw_sales(sales.where(F.col("sale_date") <= F.lit(CUT).cast("date"))), first)
-    write_csv(_raw_sales(sales), second)
     lake = Lake(spark, scratch_path(spark, "lake"))
-    for path in (first, second):
+    for path in _two_exports(sales):
         lake.ingest(catalog.SALES, path)
         lake.refine(catalog.SALES)
     names = [new for _, new in SALES_FILE_COLUMNS.values()]
@@ -655,11 +661,10 @@ def lake_rejected(spark, folder):
 @query
 def lake_report(spark, folder):
     """The quality report that the refining of a whole export gives, counted while its rows are written."""
-    sales = _stored_sales(spark, folder)
     path = scratch_path(spark, "export")
-    raw = _raw_sales(sales)
+    raw = _raw_sales(sales_from_orders(spark, folder))
     people = F.when(F.col("Region") != "ASIA", F.col("Salesperson"))
-    write_csv(raw.withColumn("Lead Name", F.when(F.col("Segment") != "BUILDING", F.col("Lead Name"))).withColumn("Salesperson", people), path)
+    write_csv(raw.withColumn("Lead Name", F.when(F.col("Segment") != "BUILDING", F.col("Lead Name"))).withColumn("Salesperson", people), path, codec="gzip")
     lake = Lake(spark, scratch_path(spark, "lake"))
     lake.ingest(catalog.SALES, path)
     return lake.refine(catalog.SALES)[1]
@@ -668,14 +673,13 @@ def lake_report(spark, folder):
 @query
 def lake_broken(spark, folder):
     """Lines of two exports whose revenue is no number, each once, as they stand in the files."""
-    sales = _stored_sales(spark, folder)
-    first, second = scratch_path(spark, "export-1"), scratch_path(spark, "export-2")
     revenue = F.col("Forecasted Monthly Revenue").cast("string")
     spoilt = (F.col("Region") == "EUROPE") & (F.col("Opportunity Stage") == "Lead")
-    for path, rows in ((first, sales.where(F.col("sale_date") <= F.lit(CUT).cast("date"))), (second, sales)):
-        write_csv(_raw_sales(rows).withColumn("Forecasted Monthly Revenue", F.when(spoilt, "n/a").otherwise(revenue)), path)
+    paths = _two_exports(
+        sales_from_orders(spark, folder), lambda raw: raw.withColumn("Forecasted Monthly Revenue", F.when(spoilt, "n/a").otherwise(revenue))
+    )
     lake = Lake(spark, scratch_path(spark, "lake"))
-    for path in (first, second):
+    for path in paths:
         lake.ingest(catalog.SALES, path)
     return lake.table(catalog.SALES.bronze_table + BROKEN).read().select(F.col(RECORD).alias("record"), F.col(REASON).alias("reason"))
 

@@ -23,7 +23,7 @@ from dealtide.operators.quality import broken_rules, failure_counts, listed, rep
 from dealtide.operators.runlog import RunLog, increment_note
 from dealtide.operators.transforms import apply_transforms
 from dealtide.plans import dashboard, marts, star
-from dealtide.scratch import scratch_path
+from dealtide.scratch import CODEC, scratch_path
 from dealtide.sources.catalog import SALES, SOURCES, Source
 from dealtide.sources.files import REASON, RECORD, TEXT_FORMATS, read_source, register_views
 from dealtide.sources.tables import Load, Mark, Table, greatest, write_apart
@@ -241,7 +241,7 @@ class Lake:
             # one pass as well; rows that stay are then merged by key, the few others stored
             seen_rules = Observation()
             path = scratch_path(self.spark, "refined")
-            flagged.observe(seen_rules, *failure_counts(source.rules)).withColumn("_away", away).write.partitionBy("_away").parquet(path)
+            flagged.observe(seen_rules, *failure_counts(source.rules)).withColumn("_away", away).write.partitionBy("_away").parquet(path, compression=CODEC)
             counted.update(seen_rules.get)
             staged = self.spark.read.schema(flagged.schema.add("_away", "boolean")).parquet(path)
             (aside.append if modes[1] == "append" else aside.replace)(staged.where("_away").drop("_away"), load_id)

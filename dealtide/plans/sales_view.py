@@ -37,7 +37,16 @@ def sales_from_orders(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("sale_date")
     )
-    lines = read_table(spark, folder, "lineitem")
+    # only what the sales need goes through the shuffle, in its shortest form
+    lines = read_table(spark, folder, "lineitem").select(
+        *LINE_KEY,
+        "l_extendedprice",
+        "l_discount",
+        F.to_date("l_shipdate").alias("target_close"),
+        (F.col("l_returnflag") == "R").alias("returned"),
+        (F.col("l_linestatus") == "F").alias("line_final"),
+        (F.col("l_linestatus") == "O").alias("latest_status_entry"),
+    )
 
     placed = (
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
@@ -50,9 +59,9 @@ def sales_from_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
     final = F.col("o_orderstatus") == "F"
-    line_final = F.col("l_linestatus") == "F"
+    line_final = F.col("line_final")
     stage = (
-        F.when(final & (F.col("l_returnflag") == "R"), "Closed Lost")
+        F.when(final & F.col("returned"), "Closed Lost")
         .when(final, "Closed Won")
         .when((F.col("o_orderstatus") == "P") & line_final, "Contracting")
         .when(F.col("o_orderstatus") == "P", "Qualified")
@@ -67,13 +76,13 @@ def sales_from_orders(spark: SparkSession, folder: str) -> DataFrame:
         "lead_name",
         "segment",
         "region",
-        F.to_date("l_shipdate").alias("target_close"),
+        "target_close",
         forecast.alias("forecasted_monthly_revenue"),
         F.round(forecast * share, 2).cast(MONEY).alias("weighted_revenue"),
         stage.alias("opportunity_stage"),
         final.alias("closed_opportunity"),
         (~final).alias("active_opportunity"),
-        (F.col("l_linestatus") == "O").alias("latest_status_entry"),
+        "latest_status_entry",
         *LINE_KEY,
     )
 

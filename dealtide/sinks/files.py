@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from dealtide.scratch import CODEC
+
 
 def write_parquet(
     df: DataFrame,
@@ -37,11 +39,15 @@ def write_parquet(
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.parquet(path, compression=CODEC)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", True).option("emptyValue", "").csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] = (), codec: str | None = None) -> None:
+    """CSV files, in a folder per value of ``partition_by`` where given; no row moves. A file compressed by gzip is read by one task."""
+    writer = df.write.mode(mode).option("header", True).option("emptyValue", "")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.csv(path, compression=codec)
 
 
 def export_reports(

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from dealtide.functions.columns import named, row_count
 from dealtide.functions.types import common_shape
 from dealtide.operators.merge import apply_increment, bucket_of, compete, reduce_increment
-from dealtide.scratch import append_row, folder_exists
+from dealtide.scratch import CODEC, append_row, folder_exists
 from dealtide.sinks.files import write_parquet
 
 _COMMIT = (
@@ -347,7 +347,7 @@ def write_apart(
     folder, seen = table.new_folder(), Observation()
     wanted = [F.count_if(~away).alias("rows"), F.count_if(away).alias("away"), *observe]
     wanted += [mark.metric] if mark and mark.metric is not None else []
-    rows.observe(seen, *wanted).withColumn(_SIDE, away).write.partitionBy(_SIDE).parquet(f"{table.path}/{folder}")
+    rows.observe(seen, *wanted).withColumn(_SIDE, away).write.partitionBy(_SIDE).parquet(f"{table.path}/{folder}", compression=CODEC)
     measured = dict(seen.get)
     kept, apart = measured.pop("rows"), measured.pop("away")
     side = f"{folder}/{_SIDE}=true"
