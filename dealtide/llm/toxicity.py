@@ -7,7 +7,8 @@ looks precomputed rows up. The language that selects a threshold is predicted fr
 
 All labelled rows outside of the held-out ones are learned from. Three quarters fit the weights, in shards of a bounded size: each
 task fits its shard from the same weights, and the mean of the shards' weights begins the next round. The other rows
-give the thresholds, from counts of all their scores.
+give the thresholds, from counts of all their scores. Texts stay where they are read: their hashed words, or their
+scores, go to the labels.
 """
 
 from __future__ import annotations
@@ -349,9 +350,10 @@ def best_cut(low: np.ndarray, high: np.ndarray, n: np.ndarray, hits: np.ndarray,
     return float(np.clip((low[k] + below) / 2, 0.02, 0.98))
 
 
-def calibrate(network: Network, rows: DataFrame, languages: language_id.Languages) -> None:
-    """Cuts from all ``rows`` (text, y): their scores are counted by language and bin, and only counts reach the driver."""
-    shared = rows.sparkSession.sparkContext.broadcast((network, languages))
+def calibrate(network: Network, documents: DataFrame, known: DataFrame, languages: language_id.Languages) -> None:
+    """Cuts from all ``documents`` (doc_id, text) with a row in ``known`` (doc_id, y): their scores are counted by language and bin,
+    and only counts reach the driver. The scores go to the labels, not the texts."""
+    shared = documents.sparkSession.sparkContext.broadcast((network, languages))
     cache: dict[str, tuple[int, int]] = {}
 
     def scored(batch: pa.RecordBatch) -> list:
@@ -359,7 +361,7 @@ def calibrate(network: Network, rows: DataFrame, languages: language_id.Language
         texts = texts_of(batch)
         return [net.raw([hashed_words(t, cache) for t in texts]), langs.predict(texts)[0]]
 
-    raw = add_columns(rows, "raw double, language string", scored, drop=("text",))
+    raw = _of_known(add_columns(documents, "raw double, language string", scored, drop=("text",)), known)
     bins = raw.groupBy("language", F.floor(F.col("raw") * BINS).alias("bin"))
     counted = bins.agg(F.min("raw").alias("low"), F.max("raw").alias("high"), F.count("*").alias("n"), F.sum("y").alias("hits")).toPandas()
 
@@ -374,6 +376,11 @@ def calibrate(network: Network, rows: DataFrame, languages: language_id.Language
             network.cuts[language] = found
 
 
+def _of_known(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``rows`` with the labels of their ids. Both grow with the data, so both are shuffled by id, whatever their size."""
+    return rows.join(known.hint("merge"), "doc_id")
+
+
 def train(documents: DataFrame, labels: DataFrame, languages: language_id.Languages, shard_rows: int = SHARD) -> Network:
     """The network, from all labelled rows outside of the held-out ones.
 
@@ -383,7 +390,7 @@ def train(documents: DataFrame, labels: DataFrame, languages: language_id.Langua
     known = labels.where("toxic IS NOT NULL").where(remainder("doc_id", FOLDS) != HELD_OUT)
     known = known.select("doc_id", (F.col("toxic") == 1).cast("int").alias("y"))
     # only rows that a label may have go to the join
-    rows = documents.select("doc_id", "text").where(remainder("doc_id", FOLDS) != HELD_OUT).join(known, "doc_id")
+    rows = documents.select("doc_id", "text").where(remainder("doc_id", FOLDS) != HELD_OUT)
     part = F.crc32(F.concat(F.lit("fit"), F.col("doc_id").cast("string"))) % 4
     cache: dict[str, tuple[int, int]] = {}
 
@@ -391,11 +398,11 @@ def train(documents: DataFrame, labels: DataFrame, languages: language_id.Langua
         words = [hashed_words(t, cache) for t in texts_of(batch)]
         return [[w.astype(np.int16).tobytes() if len(w) <= SHARD_WORDS else None for w in words]]
 
-    # copies of a row fit no weights a second time
+    # copies of a row fit no weights a second time; they are told apart where the join left them
     fitting = add_columns(rows.where(part > 0), "words binary", read, drop=("text",)).where("words IS NOT NULL")
-    fitting = fold(fitting.distinct(), "training-words")
+    fitting = fold(_of_known(fitting, known.where(part > 0)).distinct(), "training-words")
     network = fit_shards(fitting, shard_rows)
-    calibrate(network, rows.where(part == 0), languages)
+    calibrate(network, rows.where(part == 0), known.where(part == 0), languages)
     return network
 
 
