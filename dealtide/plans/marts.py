@@ -25,7 +25,7 @@ from dealtide.functions.columns import (
     row_count,
     won_revenue,
 )
-from dealtide.operators.increments import replace_groups, rows_of_groups, rows_outside_groups
+from dealtide.operators.increments import GroupFilter, replace_groups, rows_of_groups, rows_outside_groups
 from dealtide.operators.numbering import number_rows
 from dealtide.scratch import materialize
 
@@ -130,14 +130,21 @@ class Mart:
     def refresh(self, current: DataFrame, sales: DataFrame, changed: DataFrame) -> DataFrame:
         """``current`` brought up to date by recomputing the touched groups only.
 
-        ``sales`` is the full table after the change, ``changed`` the new and the
+        ``current`` is the table before the change, ``sales`` the full table after it, ``changed`` the new and the
         replaced rows. Whole groups are recomputed, so distinct counts, deviations and
         maxima come out as in a full build.
+
+        Groups by more than the month are many, so a filter of bounded size tells them apart, and only the rows that it lets pass are
+        shuffled, once. A group passes with all its rows or not at all; one that was not touched comes out as it was.
         """
         keys = list(self.groups)
+        if not self.monthly:
+            fresh = [f"_k_{k}" for k in keys]
+            by_group = [self._guarded(rows).select("*", *[F.expr(e).alias(f"_k_{n}") for n, e in self.groups.items()]) for rows in (changed, sales)]
+            found = GroupFilter(by_group[0], fresh)
+            return found.outside(current, keys).unionByName(self.build(found.passing(by_group[1], fresh).drop(*fresh)))
         touched = materialize(self.touched(changed), "touched")
-        if self.monthly:
-            sales = self._of_months(sales, touched)
+        sales = self._of_months(sales, touched)
         keyed = self._guarded(sales).select("*", *[F.expr(e).alias(f"_k_{n}") for n, e in self.groups.items()])
         wanted = touched.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
         affected = rows_of_groups(keyed, wanted, [f"_k_{k}" for k in keys]).drop(*[f"_k_{k}" for k in keys])
